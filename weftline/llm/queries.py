@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing
+from . import exact_dedup, minhash, mixing, packing, quality
 
 #: Parameter: the vocabulary file; it is read where a task runs.
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +30,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
