@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, mixing, packing, quality
+from . import crosspolytope, exact_dedup, minhash, mixing, packing, quality, toxicity
 
 #: Parameter: the vocabulary file; it is read where a task runs.
 TOKENIZER = "byte_bpe_50k.json"
@@ -22,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
