@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crosspolytope, exact_dedup, minhash, mixing, packing, quality, toxicity, warc
+from . import crosspolytope, exact_dedup, lines, minhash, mixing, packing, quality, toxicity, warc
 
 #: Parameter: the vocabulary file; it is read where a task runs.
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,6 +29,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_counts(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captured(table(spark, sf_dir, "pages"))
 
