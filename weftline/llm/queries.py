@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crosspolytope, exact_dedup, lines, minhash, mixing, packing, quality, toxicity, warc
+from . import crosspolytope, exact_dedup, lines, minhash, mixing, packing, pseudolik, quality, toxicity, warc
 
 #: Parameter: the vocabulary file; it is read where a task runs.
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,11 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pseudolik.scored(docs, pseudolik.train(docs))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
