@@ -25,7 +25,14 @@ from .textkernel import STEP, steps
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Words of which a worker remembers the ids; then it starts afresh.
-MEMO = 300_000
+MEMO = 600_000
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet by byte: printable Latin-1 stands for itself, all others count on from 256."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class TokenMemo:
@@ -33,6 +40,8 @@ class TokenMemo:
 
     A byte-level BPE never joins across the edge before a single space that has no white space beside
     it, so a text is cut there and the pieces' ids are concatenated: the same ids as of the whole text.
+    A new piece of Latin letters, with or without ASCII marks after them, is one or two pre-tokens and
+    goes to the library's BPE model itself; any other goes through its whole encoder.
     """
 
     def __init__(self, path: str, special: bool = False):
@@ -40,25 +49,58 @@ class TokenMemo:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = not special
-        self.rest: dict[str, bytes] = {}
-        self.head: dict[str, bytes] = {}
-        self.odd = re.compile(r"(?:^|\s) | (?:\s|$)")
+        self.model = self.tok.model
+        self.letters = byte_letters()
+        self.rest: dict[str, bytes | None] = {}
+        self.head: dict[str, bytes | None] = {}
         self.edge = re.compile(r"(?<=\S) (?=\S)")
+        self.word = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*)([!-/:-@[-`{-~]*)").fullmatch
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def _bpe(self, text: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, memo: dict, words: set, before: str) -> None:
+        """Add ids of ``before`` + word; None for a word with white space at an edge, where no cut is allowed."""
         if len(memo) > MEMO:
             memo.clear()
-        new = [w for w in words if w not in memo]
-        for w, e in zip(new, self.tok.encode_batch([before + w for w in new], add_special_tokens=False), strict=True):
+        hard = []
+        for w in words.difference(memo):
+            if not w or w[0].isspace() or w[-1].isspace():
+                memo[w] = None
+                continue
+            parts = self.word(w)
+            if parts is None or not parts[1]:
+                hard.append(w)
+                continue
+            core, mark = parts[1], parts[2]
+            ids = memo.get(core)
+            if ids is None:
+                ids = memo[core] = self._bpe(before + core)
+            if mark:
+                if mark not in self.marks:
+                    self.marks[mark] = self._bpe(mark)
+                memo[w] = ids + self.marks[mark]
+        for w, e in zip(hard, self.tok.encode_batch([before + w for w in hard], add_special_tokens=False), strict=True):
             memo[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
+    def _whole(self, text: str) -> bytes:
+        first, *more = self.edge.split(text)
+        out = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tok.encode_batch([first, *(" " + w for w in more if self.rest.get(w) is None)], add_special_tokens=False)]
+        odd = iter(out)
+        return next(odd) + b"".join([self.rest.get(w) or next(odd) for w in more])
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        cut = [(self.edge.split(t) if self.odd.search(t) else t.split(" ")) for t in texts]
+        cut = [t.split(" ") for t in texts]
         self._learn(self.head, {c[0] for c in cut}, "")
         self._learn(self.rest, set().union(*(c[1:] for c in cut)), " ")
-        head, rest = self.head, self.rest
-        return [head[c[0]] + b"".join([rest[w] for w in c[1:]]) for c in cut]
+        rest, out = self.rest, []
+        for text, c in zip(texts, cut, strict=True):
+            found = [self.head[c[0]], *[rest[w] for w in c[1:]]]
+            out.append((self._whole(text) if text else b"") if None in found else b"".join(found))
+        return out
 
 
 def _cut(ids: bytes, most: int):
