@@ -20,6 +20,8 @@ from weftline.plans.shared import join_checked, materialize
 from .textkernel import U64, list_array, mix, shingles, steps, utf8, words
 
 MISS = 1e-4
+#: Sets of a bucket that are compared at once; a larger bucket is dealt into parts that meet pair by pair.
+BLOCK = 768
 SIGNED = "doc_id long, n long, f1 long, f2 long, a array<long>, b array<long>"
 
 
@@ -83,11 +85,16 @@ def _sets(k: int):
     return run
 
 
+def _sets_of(ids: DataFrame, src: DataFrame, k: int) -> DataFrame:
+    """(id, shingles) of the documents in ``ids`` (id), computed anew from their texts."""
+    who = materialize(ids.distinct(), "who")
+    texts = join_checked(src, who.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi", 200_000)
+    return materialize(texts.mapInArrow(_sets(k), "id long, shingles array<long>"), "sets")
+
+
 def _verified(pairs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFrame:
     """Of materialized candidate ``pairs`` (x, y) those whose full shingle sets are similar enough."""
-    who = materialize(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "who")
-    texts = join_checked(src, who.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi", 200_000)
-    sets = materialize(texts.mapInArrow(_sets(k), "id long, shingles array<long>"), "sets")
+    sets = _sets_of(pairs.select(F.explode(F.array("x", "y")).alias("id")), src, k)
     both = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("sx")), "x")
     both = both.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("sy")), "y")
     common = F.size(F.array_intersect("sx", "sy"))
@@ -95,6 +102,84 @@ def _verified(pairs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFra
     return materialize(both.where(100 * common >= percent * union).select("x", "y").distinct(), "links")
 
 
+def common_sizes(sets: list[np.ndarray], chunk: int = 8192) -> np.ndarray:
+    """Sizes of all intersections of a block of sorted distinct sets, by products of 0/1 columns, ``chunk`` of them at a time."""
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    value, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)))
+    for a in range(0, int(shared.sum()), chunk):
+        i, j = np.searchsorted(column, [a, a + chunk])
+        x = np.zeros((len(sets), chunk), np.float32)
+        x[row[i:j], column[i:j] - a] = 1
+        out += x @ x.T
+    return out
+
+
+def _within(percent: int):
+    """Over rows (rep, grp, part, split, block, shingles) in the order of their block: links (x, y) that join different groups, at most one a row."""
+
+    def block(rep, grp, part, split, sets):
+        if (grp == grp[0]).all():
+            return
+        n = np.array([len(s) for s in sets], float)
+        common = common_sizes(sets)
+        ok = (100 * common >= percent * (n[:, None] + n[None, :] - common)) & (grp[:, None] != grp[None, :])
+        if split:
+            ok &= part[:, None] != part[None, :]
+        i, j = np.nonzero(np.triu(ok, 1))
+        # rows of a group are one node already; keep a spanning forest of what the links add
+        _, node = np.unique(grp, return_inverse=True)
+        root = list(range(int(node.max()) + 1))
+
+        def top(v):
+            while root[v] != v:
+                root[v] = root[root[v]]
+                v = root[v]
+            return v
+
+        for u, v in zip(i.tolist(), j.tolist(), strict=True):
+            a, b = top(int(node[u])), top(int(node[v]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                yield int(rep[u]), int(rep[v])
+
+    def run(batches):
+        held = None
+
+        def links(rows: pa.Table):
+            found = []
+            if len(rows):
+                key = rows["block"].to_numpy()
+                rep, grp, part, split = (rows[c].to_numpy() for c in ("rep", "grp", "part", "split"))
+                lists = rows["shingles"].combine_chunks()
+                offs, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    if b - a > 1:
+                        found += block(rep[a:b], grp[a:b], part[a:b], bool(split[a]), [flat[offs[r] : offs[r + 1]] for r in range(a, b)])
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["x", "y"])
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows])
+            key = rows["block"].to_numpy()
+            last = int(np.flatnonzero(key == key[-1])[0])
+            held = rows.slice(last)
+            yield links(rows.slice(0, last))
+        if held is not None:
+            yield links(held)
+
+    return run
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 85, seed: int = 11) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept.
 
@@ -105,9 +190,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class from the start. Rows that share an id are one node; those without an id are linked with
     nothing, have no component and are kept. Empty tables give no rows.
 
-    Candidates: in each table bucket every class meets two pivots, the least id and one by hash. What
-    the verified links then leave apart within a bucket meets pair by pair, so nothing that shares a
-    bucket goes unverified unless it is already connected.
+    In each table bucket every class first meets the one with the least id. Buckets that the links so
+    far leave in several groups are then compared whole, in blocks of at most 2 * BLOCK sets and on
+    full sets, so that nothing that shares a bucket goes unverified unless it is already connected;
+    only links that join two groups leave a block.
     """
     m = entries(percent)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -118,30 +204,26 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     key = F.explode(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y)))))
     keyed = classes.select(key.alias("key"), "rep", "n")
-    one = F.struct("rep", "n")
-    other = F.struct(F.xxhash64("rep"), "rep", "n")
-    pivots = keyed.groupBy("key").agg(F.min(one).alias("p"), F.min(other).alias("q"), F.count("*").alias("c")).where("c > 1")
-    pivots = materialize(pivots.select("key", F.col("p.rep").alias("p"), F.col("p.n").alias("pn"), F.col("q.rep").alias("q"), F.col("q.n").alias("qn"), "c"), "pivots")
+    pivots = keyed.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("p"), F.count("*").alias("c")).where("c > 1")
+    pivots = materialize(pivots.select("key", F.col("p.rep").alias("p"), F.col("p.n").alias("pn"), "c"), "pivots")
     met = materialize(keyed.join(pivots, "key"), "met")
-
-    near = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    star = F.explode(F.array(F.struct(F.col("p").alias("y"), F.col("pn").alias("yn")), F.struct(F.col("q").alias("y"), F.col("qn").alias("yn"))))
-    cand = met.select("rep", "n", star.alias("s")).where((F.col("rep") != F.col("s.y")) & near(F.col("n"), F.col("s.yn")))
-    cand = cand.select(F.greatest("rep", "s.y").alias("x"), F.least("rep", "s.y").alias("y")).distinct()
+    near = 100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")
+    cand = met.where((F.col("rep") != F.col("p")) & near).select(F.col("rep").alias("x"), F.col("p").alias("y")).distinct()
     links = _verified(materialize(cand, "cand"), src, k, percent)
     comp = materialize(connected_components(links, "x", "y"), "comp")
 
-    # buckets that the links so far leave in several parts
-    parts = met.where("c > 2").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
-    parts = materialize(parts.select("key", "rep", "n", "p", "q", F.coalesce("component", "rep").alias("part")), "parts")
-    split = parts.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key")
-    rest = parts.join(materialize(split, "split"), "key", "left_semi").where("rep <> p and rep <> q")
-    left = rest.select("key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("part").alias("xp"))
-    right = rest.select("key", F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("part").alias("yp"))
-    cand = left.join(right, "key").where((F.col("x") > F.col("y")) & (F.col("xp") != F.col("yp")) & near(F.col("xn"), F.col("yn")))
-    cand = materialize(cand.select("x", "y").distinct(), "cand")
-    if cand.take(1):
-        links = links.unionByName(_verified(cand, src, k, percent))
+    rows = met.where("c > 2").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
+    rows = materialize(rows.select("key", "rep", "c", F.coalesce("component", "rep").alias("grp")), "grouped")
+    split = rows.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("key")
+    rows = rows.join(materialize(split, "several"), "key", "left_semi")
+    parts = F.ceil(F.col("c") / BLOCK).cast("int")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(seed)), parts).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.select("rep", "grp", "part", (F.col("with") != F.col("part")).alias("split"), F.xxhash64("key", F.least("part", "with"), F.greatest("part", "with")).alias("block"))
+    rows = materialize(rows, "rows")
+    if rows.take(1):
+        sets = _sets_of(rows.select(F.col("rep").alias("id")), src, k).withColumnRenamed("id", "rep")
+        blocks = rows.join(sets, "rep").repartition("block").sortWithinPartitions("block")
+        links = links.unionByName(materialize(blocks.mapInArrow(_within(percent), "x long, y long"), "more"))
         comp = materialize(connected_components(links, "x", "y"), "comp")
 
     named = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
