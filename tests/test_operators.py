@@ -226,16 +226,14 @@ def test_streams(spark, tmp_path):
     df = spark.createDataFrame([(1, "2024-01-01 00:00:00", "a", 1.0), (1, "2024-01-01 00:10:00", "a", 2.0), (1, "2024-01-01 05:00:00", "b", 3.0)], "user_id long, ts string, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
     df.write.parquet(str(tmp_path / "e"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "e"))
-    q = events.tumbling(stream).writeStream.format("memory").queryName("tumble").outputMode("update").start()
-    q.processAllAvailable()
-    q.stop()
+    q = events.tumbling(stream).writeStream.format("memory").queryName("tumble").outputMode("update").trigger(availableNow=True).start()
+    assert q.awaitTermination(60)
     assert sorted((r.event_type, r.n) for r in spark.table("tumble").collect()) == [("a", 2), ("b", 1)]
     assert sorted(r.n for r in events.sessions(df).collect()) == [1, 2]
     t = turns(spark, ["user", "assistant"] * 6)
     t.write.parquet(str(tmp_path / "t"))
     stream = spark.readStream.schema(t.schema).parquet(str(tmp_path / "t"))
-    q = events.conversation_state(stream, 4).writeStream.format("memory").queryName("state").outputMode("update").start()
-    q.processAllAvailable()
-    q.stop()
+    q = events.conversation_state(stream, 4, idle_ms=None).writeStream.format("memory").queryName("state").outputMode("update").trigger(availableNow=True).start()
+    assert q.awaitTermination(60)
     r = spark.table("state").first()
     assert r.turns == 12 and r.history.count("\n") == 3

@@ -23,10 +23,11 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes
     return out.select(user, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def conversation_state(turns: DataFrame, limit: int = 8, key: str = "conv_id") -> DataFrame:
+def conversation_state(turns: DataFrame, limit: int = 8, key: str = "conv_id", idle_ms: int | None = 3_600_000) -> DataFrame:
     """A stream of turns: for each batch of a conversation its turns so far and the last ``limit`` of them.
 
-    State is two arrays of at most ``limit`` entries a conversation; it expires after an hour without turns.
+    State is two arrays of at most ``limit`` entries a conversation. It expires after ``idle_ms`` without
+    turns; a stream that is to end by itself (availableNow) takes None, for a timeout asks for ever more batches.
     """
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -38,7 +39,8 @@ def conversation_state(turns: DataFrame, limit: int = 8, key: str = "conv_id") -
         n += len(rows)
         roles, texts = [*roles, *rows.role][-limit:], [*texts, *rows.text][-limit:]
         state.update((n, roles, texts))
-        state.setTimeoutDuration(3_600_000)
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({key: [group[0]], "turns": [n], "history": ["\n".join(f"{r}: {t}" for r, t in zip(roles, texts, strict=True))]})
 
-    return turns.groupBy(key).applyInPandasWithState(step, f"{key} long, turns long, history string", "n long, roles array<string>, texts array<string>", "update", "ProcessingTimeTimeout")
+    return turns.groupBy(key).applyInPandasWithState(step, f"{key} long, turns long, history string", "n long, roles array<string>, texts array<string>", "update", "ProcessingTimeTimeout" if idle_ms else "NoTimeout")
