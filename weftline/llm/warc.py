@@ -42,13 +42,11 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
 def url_key(url: str | None) -> str:
     """Host reversed by labels and lower-cased, port and path: ``http://a.b.c/x?q`` is ``c,b,a)/x?q``."""
     text = (url or "").strip()
-    parts = urlsplit(text if "://" in text else "//" + text) if text else None
     try:
-        host, port = (parts.hostname or "", parts.port) if parts else ("", None)
-    except ValueError:
-        host, port = parts.netloc.lower(), None
-    if not parts:
-        return ")/"
+        parts = urlsplit(text if "://" in text else "//" + text)
+        host, port = parts.hostname or "", parts.port
+    except ValueError:  # no URL: it stands for itself, under no host
+        return ")" + text
     host = ",".join(reversed(re.sub(r"^www\d*\.", "", host).split(".")))
     return f"{host}{f':{port}' if port not in (None, 80, 443) else ''}){parts.path or '/'}{'?' + parts.query if parts.query else ''}"
 
