@@ -52,8 +52,9 @@ class Net:
         return np.maximum(np.maximum(pooled + self.bias, 0) @ self.hid + self.hbias, 0) @ self.out + self.obias
 
 
-def fit(bags: list[tuple[list[bytes], int]], epochs: int = 12, seed: int = 5, rate: float = 4e-3) -> Net:
-    """Train on (chunks, label) rows with Adam; the pooled maximum passes its gradient to one window."""
+def fit(bags: list[tuple[list[bytes], int]], epochs: int = 12, seed: int = 5, rate: float = 4e-3, least_steps: int = 800) -> Net:
+    """Train on (chunks, label) rows with Adam, ``epochs`` times or more for ``least_steps`` steps; the pooled maximum passes its gradient to one window."""
+    epochs = max(epochs, -(-least_steps * 32 // len(bags)))
     net, g = Net.fresh(seed), np.random.default_rng(seed)
     m1, m2, t = [np.zeros_like(p) for p in net.parts()], [np.zeros_like(p) for p in net.parts()], 0
     weight = np.array([0.5 / max(1, sum(y == c for _, y in bags)) for c in (0, 1)]) * len(bags)
