@@ -72,8 +72,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+#: The links (x, y) of a query to the smallest id reachable from each row of ``nodes`` (id).
+REACH = """reach AS (SELECT id AS x, id AS y FROM nodes UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+    comp AS (SELECT x AS id, min(y) AS component FROM reach GROUP BY x)"""
+
+
 def oracle_sql() -> dict[str, str]:
+    """SQL of the queries that it expresses and runs on whole small tables."""
     return {
+        "op3_warc": """
+            WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+            f AS (SELECT *, CASE WHEN strlen(h) >= 100 THEN min(page_id) OVER (PARTITION BY h) END AS first FROM p),
+            u AS (SELECT coalesce(url, '') AS u, count(DISTINCT page_id) AS n FROM p GROUP BY 1)
+            SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+                   CASE WHEN first < page_id THEN first END AS refers_to, CASE WHEN page_id % 20 = 0 THEN u.n END AS url_captures
+            FROM f JOIN u ON u.u = coalesce(f.url, '')""",
+        "op4_embeddings": f"""
+            WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+            g AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+            links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+            nodes AS (SELECT vec_id AS id FROM embeddings), {REACH}, n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+            SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component AS component_id, vec_id = component AS kept FROM embeddings JOIN comp ON comp.id = vec_id LEFT JOIN n ON n.x = vec_id""",
+        "op8_minhash": f"""
+            WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+            s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+            n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+            c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+            k AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * m >= 85 * (p.n + q.n - m)),
+            links AS (SELECT x, y FROM k UNION SELECT y, x FROM k), nodes AS (SELECT doc_id AS id FROM documents), {REACH}
+            SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component AS component_id, d.doc_id = component AS kept FROM documents d JOIN comp ON comp.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
         "op10_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -51,13 +51,17 @@ def url_key(url: str | None) -> str:
     return f"{host}{f':{port}' if port not in (None, 80, 443) else ''}){parts.path or '/'}{'?' + parts.query if parts.query else ''}"
 
 
+def target(url: str | None) -> str:
+    """A URL as a header holds it: on one line."""
+    return re.sub(r"[\r\n]+", " ", url or "")
+
+
 def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, refers_url: str | None, date: str = DATE) -> bytes:
     """A WARC/1.1 record as a gzip member. A revisit has no payload but names the record that has it."""
     name = lambda x: f"<urn:page:{'' if x is None else x}>"
-    clean = re.sub(r"[\r\n]+", " ", url or "")
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {name(page)}", f"WARC-Date: {date}", f"WARC-Target-URI: {clean}", f"WARC-Payload-Digest: sha256:{digest}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {name(page)}", f"WARC-Date: {date}", f"WARC-Target-URI: {target(url)}", f"WARC-Payload-Digest: sha256:{digest}"]
     if refers_to is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {name(refers_to)}", f"WARC-Refers-To-Target-URI: {re.sub(r'[\r\n]+', ' ', refers_url or '')}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {name(refers_to)}", f"WARC-Refers-To-Target-URI: {target(refers_url)}"]
         payload = b""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + len(payload)}"]
@@ -291,7 +295,8 @@ def _find(index: Index):
             # in the order of keys a block that serves several queries is read once
             for _, page, url in sorted(zip(map(url_key, batch.column(1).to_pylist()), batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), key=lambda q: (q[0], q[1] is None, q[1] or 0)):
                 for c in index.captures(url):
-                    rows.append((page, *c, index.fetch(c)["page_id"] == c[0]))
+                    r = index.fetch(c)
+                    rows.append((page, *c, r["page_id"] == c[0] and r["url"] == target(url)))
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["query_id", "page_id", "file", "offset", "length", "matched"])
@@ -302,7 +307,8 @@ def _find(index: Index):
 def lookup(archive: Archive, queries: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(query_id, page_id, file, offset, length, matched): all captures of each query's URL, through the index.
 
-    The directory goes to every task. ``matched``: the record at that range of the archive is that page's.
+    The directory goes to every task. ``matched``: the record at that range of the archive is that page's,
+    and its URL is the query's and not just one of the same key.
     """
     asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"))
     return asked.mapInArrow(_find(open_index(archive)), "query_id long, page_id long, file string, offset long, length long, matched boolean")
@@ -312,7 +318,7 @@ def captured(pages: DataFrame, every: int = 20) -> DataFrame:
     """Archive ``pages``, read the archives back, and look up the URLs of every id divisible by ``every``.
 
     One row a page: page_id, payload_bytes, payload_digest, record_type, refers_to, url_captures (captures
-    of the page's URL that the index finds and whose records are where it says; null for other pages).
+    of just this URL that the index finds and whose records are where it says; null for other pages).
     """
     archive = write(pages)
     rows = read_back(archive)
