@@ -237,4 +237,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs`` that stay, with all their columns: of each group the document with the smallest id."""
     gone = near_groups(docs, id_col, text_col, k, percent).where("not kept").select(F.col("doc_id").alias("__id")).distinct()
     gone = materialize(gone, "gone")
-    return join_checked(docs, gone, F.col(id_col) == F.col("__id"), "left_anti").select(*docs.columns)
+    return join_checked(docs, gone, F.col(id_col) == F.col("__id"), "left_anti", 1_000_000).select(*docs.columns)  # ids alone: 8 MB at most

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.plans.shared import materialize, running_total
+from weftline.plans.shared import join_checked, materialize, running_total
 
 #: A maximal run of bytes other than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +22,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 1024
 #: Cells of the unit interval by which draws meet sources.
 CELLS = 4096
+#: Rows of (id, count) up to which they are broadcast: about 16 MB.
+NARROW_ROWS = 1_000_000
 #: Rounds of the swap-or-not permutation.
 ROUNDS = 16
 
@@ -159,5 +161,6 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     t = taken_words(docs, id_col=id_col, **kw).groupBy(F.col("doc_id").alias("__id")).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
     times = F.when(F.col("s") > 0, F.round(F.col("t") / F.col("s"))).otherwise(1).cast("int")
     t = materialize(t.select("__id", times.alias("__times")).where("__times > 0"), "times")
-    out = docs.join(t, F.col(id_col).eqNullSafe(F.col("__id")))
+    # (id, count) rows are narrow: up to NARROW_ROWS of them are broadcast, so that texts stay where they are
+    out = join_checked(docs, t, F.col(id_col).eqNullSafe(F.col("__id")), "inner", NARROW_ROWS)
     return out.withColumn("__times", F.explode(F.array_repeat(F.lit(1), F.col("__times")))).select(*docs.columns)
