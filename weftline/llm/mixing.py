@@ -26,6 +26,10 @@ CELLS = 4096
 NARROW_ROWS = 1_000_000
 #: Rounds of the swap-or-not permutation.
 ROUNDS = 16
+#: Cells by size in a source: so many classes a doubling of the size, and parts of a class by key.
+SIZE_CLASSES, SIZE_PARTS = 4, 16
+#: Units of one whole copy in running totals of fractions.
+UNIT = 1 << 24
 
 
 @dataclass
@@ -60,6 +64,10 @@ def source_targets(sizes: DataFrame, most: float = 3.0, weights: tuple[float, ..
     return s.select("source", "rank", "source_size", share.alias("target"))
 
 
+def word_count(text_col: str):
+    return F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
+
+
 def permuted(x, n, key, seed: int, rounds: int = ROUNDS):
     """Position ``x`` of a pseudorandom permutation of 0..n-1 chosen by ``key`` (swap-or-not: any n, no table)."""
 
@@ -80,7 +88,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rest is a prefix of its next permutation, whose last block is cut to end at T (one block off where
     that prefix holds the source's short last block). An empty table gives empty frames.
     """
-    size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
+    size = word_count(text_col)
     key = F.xxhash64(F.col(id_col), F.col(source_col), size)
     sized = materialize(docs.select(key.alias("doc_key"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size")), "sized")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -152,15 +160,39 @@ def taken_words(docs: DataFrame, **kw) -> DataFrame:
     return out.select(*names).unionByName(none.select(*names))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``docs``, with all their columns, each as often as the mix takes it whole.
+def whole_copies(taken: DataFrame, seed: int) -> DataFrame:
+    """(doc_key, times) from (doc_key, rank, size, taken), one row a key.
+
+    A document of s words of which t are taken comes floor(t / s) times, and once more with a
+    probability of the fraction left. The fractions of a source are added up in the order of size, and
+    a document is taken where the running total passes a whole number (from a start drawn for the
+    source). So every document has its own share whatever its length, each stretch of sizes gets its
+    due number of documents to within one, and the words of a source meet those taken to within about
+    its largest document.
+    """
+    whole = F.floor(F.col("taken") / F.col("size"))
+    part = F.round((F.col("taken") - whole * F.col("size")) * F.lit(float(UNIT)) / F.col("size")).cast("long")
+    t = materialize(taken.select("doc_key", "rank", "size", whole.cast("int").alias("whole"), part.alias("part")), "shares")
+    cell = F.floor(F.log2(F.col("size")) * SIZE_CLASSES).cast("int") * SIZE_PARTS + F.pmod("doc_key", F.lit(SIZE_PARTS)).cast("int")
+    t = running_total(t, "rank", cell, ["size", "doc_key"], F.col("part"), "before")
+    start = F.col("before") + F.pmod(F.xxhash64(F.lit(seed), F.col("rank"), F.lit("start")), F.lit(UNIT))
+    more = F.floor((start + F.col("part")) / UNIT) - F.floor(start / UNIT)
+    return t.select("doc_key", (F.col("whole") + more).cast("int").alias("times"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, **kw) -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as the mix takes it whole (0 to 3 times; see ``whole_copies``).
 
-    A document of s words of which the mix takes t comes round(t / s) times, 0 to 3; one without words
-    stays once, for it weighs nothing in any mix.
+    One without words stays once, for it weighs nothing in any mix. Rows of one id, source and size
+    share one verdict.
     """
-    t = taken_words(docs, id_col=id_col, **kw).groupBy(F.col("doc_id").alias("__id")).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
-    times = F.when(F.col("s") > 0, F.round(F.col("t") / F.col("s"))).otherwise(1).cast("int")
-    t = materialize(t.select("__id", times.alias("__times")).where("__times > 0"), "times")
-    # (id, count) rows are narrow: up to NARROW_ROWS of them are broadcast, so that texts stay where they are
-    out = join_checked(docs, t, F.col(id_col).eqNullSafe(F.col("__id")), "inner", NARROW_ROWS)
+    m = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **kw)
+    t = m.taken.join(m.sources.select("rank", "source"), "rank")
+    t = t.withColumn("doc_key", F.xxhash64(F.col("doc_id"), F.col("source"), F.col("size")))
+    t = whole_copies(t.groupBy("doc_key", "rank").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken")), seed).where("times > 0")
+    none = m.sized.where("size = 0").select("doc_key", F.lit(1).alias("times")).distinct()
+    t = materialize(t.unionByName(none).select(F.col("doc_key").alias("__key"), F.col("times").alias("__times")), "times")
+    # (key, count) rows are narrow: up to NARROW_ROWS of them are broadcast, so that texts stay where they are
+    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(source_col), word_count(text_col)))
+    out = join_checked(keyed, t, "__key", "inner", NARROW_ROWS)
     return out.withColumn("__times", F.explode(F.array_repeat(F.lit(1), F.col("__times")))).select(*docs.columns)
