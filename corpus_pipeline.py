@@ -15,8 +15,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
-    return exact_dedup.drop_copies(docs)
+    """Of equal texts the document with the largest id stays, in one row."""
+    return exact_dedup.drop_copies(docs, single=True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

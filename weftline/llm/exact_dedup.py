@@ -78,14 +78,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = COUNTERS) -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = COUNTERS, single: bool = False) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
     Only groups of two or more matter here: their (digest, survivor) table is broadcast while it has
-    few rows and shuffled beyond that.
+    few rows and shuffled beyond that. Survivors that repeat id and text (or all have a null id) all
+    stay; with ``single`` one of them does.
     """
-    groups = exact_groups(docs, id_col, text_col, k).where("group_size > 1").groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"))
-    groups = materialize(groups.select(F.col("text_sha256").alias("__digest"), F.col("keep_id").alias("__keep")), "copies")
+    groups = exact_groups(docs, id_col, text_col, k).where("group_size > 1").groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"), F.count_if("kept").alias("n_kept"))
+    groups = materialize(groups.select(F.col("text_sha256").alias("__digest"), F.col("keep_id").alias("__keep"), (F.col("n_kept") > 1).alias("__several")), "copies")
     marked = docs.withColumn("__digest", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    joined = join_checked(marked, groups, "__digest", "left")
-    return joined.where(F.col("__keep").isNull() | (F.col(id_col) == F.col("__keep"))).select(*docs.columns)
+    stay = join_checked(marked, groups, "__digest", "left").where(F.col("__keep").isNull() | (F.col(id_col) == F.col("__keep")))
+    if single and groups.where("__several").take(1):
+        several = F.coalesce("__several", F.lit(False))
+        stay = stay.where(~several).unionByName(stay.where(several).dropDuplicates(["__digest"]))
+    return stay.select(*docs.columns)
