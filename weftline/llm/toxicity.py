@@ -19,11 +19,9 @@ from pyspark.sql import functions as F
 from .quality import held_out, training_rows
 from .textkernel import LOWER, U64, _pow_table, mix, steps, utf8
 
-#: Labelled rows of each class that a fit takes; tokens that it keeps; rows of the Dirichlet prior.
-ROWS_PER_CLASS, TOKENS, PRIOR = 20_000, 20_000, 300.0
+#: Labelled rows of each class that a fit takes; tokens that it keeps; rows of the Dirichlet prior to one training row.
+ROWS_PER_CLASS, TOKENS, PRIOR = 20_000, 20_000, 0.09
 DRIFT, LEAST_ROWS, BOUND = 0.1, 3, 2.0
-#: A token whose bound is lower costs the drift: else a junk text that repeats one mild word adds up.
-LEAST_ODDS = 1.0
 #: A word also stands for its first so many bytes.
 STEMS = (5, 6, 7, 8)
 
@@ -65,7 +63,6 @@ class Weights:
     toxic: np.ndarray
     clean: np.ndarray
     rows: tuple[int, int]
-    prior: float = PRIOR
     scale: tuple[float, float] = (1.0, 1e-4)  # lambda, K
     curve: tuple[float, float] = (-2.0, 1.0)
     table: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -74,11 +71,12 @@ class Weights:
         """Lower bound of the log-odds, BOUND standard deviations under its mean."""
         t, c = np.asarray(toxic, float), np.asarray(clean, float)
         n1, n0 = rows
+        prior = PRIOR * sum(self.rows)
         share = np.maximum(t + c, 1e-9) / (n1 + n0)
-        a, b = t + self.prior * share, c + self.prior * share
-        gap = np.log(a / (n1 + self.prior)) - np.log(b / (n0 + self.prior))
+        a, b = t + prior * share, c + prior * share
+        gap = np.log(a / (n1 + prior)) - np.log(b / (n0 + prior))
         low = gap - BOUND * np.sqrt(1 / a + 1 / b)
-        return np.where(low >= LEAST_ODDS, low, -DRIFT)
+        return np.where(low > 0, low, -DRIFT)
 
     def scores(self, hashed: list[np.ndarray], own: int | None = None) -> np.ndarray:
         """Score of each word: the best of its token's and its stems', or the drift. own: the class of a training text, whose own count is left out."""
@@ -227,7 +225,7 @@ def calibrate(w: Weights, seen: list[tuple[int, int, np.ndarray]], share: float)
         grad = np.array([r.sum() - 0.01 * a, (r * x).sum() - 0.01 * b])
         hess = np.array([[v.sum() + 0.01, (v * x).sum()], [(v * x).sum(), (v * x * x).sum() + 0.01]])
         step = np.clip(np.linalg.solve(hess, grad), -2, 2)
-        a, b = a + step[0], b + step[1]
+        a, b = a + step[0], max(0.0, b + step[1])  # more evidence never lowers a score
     w.curve = (float(a), float(b))
 
 
