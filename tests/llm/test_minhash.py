@@ -65,15 +65,27 @@ def test_messy(spark):
     assert minhash.near_groups(frame(spark, [])).count() == 0
 
 
-def test_blocks_equal_whole(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 5)
+@pytest.mark.parametrize("edits", [2, 6, 12])
+def test_one_family_in_many_groups(spark, edits):
+    """Rows of one bucket that are not linked with its pivot are compared with each other."""
     rng = random.Random(2)
     base = [f"b{i}" for i in range(120)]
-    rows = [(i, family(rng, base, rng.randrange(1, 6))) for i in range(60)]
+    other = base[:60] + [f"o{i}" for i in range(60)]
+    rows = [(i, family(rng, base if i % 2 else other, rng.randrange(1, edits))) for i in range(80)]
     out = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_groups(frame(spark, rows)).collect()}
     assert out == brute(rows, 3, 85)
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    rng = random.Random(7)
+    base, other = [f"b{i}" for i in range(60)], [f"o{i}" for i in range(60)]
+    rows = [(1, " ".join(base)), (1, " ".join(other)), *[(i, family(rng, base if i % 2 else other, 2)) for i in range(2, 20)]]
+    got = minhash.near_groups(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    far = {i: t for i, t in rows[2:] if not any(len(shingle_set(t, 3) & (s := shingle_set(u, 3))) * 100 >= 85 * len(shingle_set(t, 3) | s) for _, u in rows[:2])}
+    assert {r.component_id for r in got if r.doc_id not in far} == {1}
+
+
 def test_common_sizes():
     g = np.random.default_rng(1)
     sets = [np.unique(g.integers(0, 50, 20).astype(np.uint64)) for _ in range(9)]

@@ -15,13 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.graph import connected_components
-from weftline.plans.shared import join_checked, materialize
+from weftline.plans.shared import join_checked, materialize, release
 
 from .textkernel import U64, list_array, mix, shingles, steps, utf8, words
 
 MISS = 1e-4
-#: Sets of a bucket that are compared at once; a larger bucket is dealt into parts that meet pair by pair.
-BLOCK = 768
 SIGNED = "doc_id long, n long, f1 long, f2 long, a array<long>, b array<long>"
 
 
@@ -92,14 +90,49 @@ def _sets_of(ids: DataFrame, src: DataFrame, k: int) -> DataFrame:
     return materialize(texts.mapInArrow(_sets(k), "id long, shingles array<long>"), "sets")
 
 
-def _verified(pairs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of materialized candidate ``pairs`` (x, y) those whose full shingle sets are similar enough."""
-    sets = _sets_of(pairs.select(F.explode(F.array("x", "y")).alias("id")), src, k)
+def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (x, y, ...) with the full shingle sets sx and sy."""
     both = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("sx")), "x")
-    both = both.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("sy")), "y")
+    return both.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("sy")), "y")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the distinct ``pairs`` (x, y) those whose full shingle sets are similar enough."""
     common = F.size(F.array_intersect("sx", "sy"))
     union = F.size("sx") + F.size("sy") - common
-    return materialize(both.where(100 * common >= percent * union).select("x", "y").distinct(), "links")
+    return materialize(_beside(pairs, sets).where(100 * common >= percent * union).select("x", "y"), "links")
+
+
+def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) between rows (x, y = its pivot, grp) of one pivot and of different groups.
+
+    With d(x) the symmetric difference of x and the pivot, that of x and z is that of d(x) and d(z).
+    So a link needs |d(x) and d(z) differ| <= (n(x) + n(z)) (100 - percent) / (100 + percent), and two
+    rows of which one at least is not linked with the pivot then share one of their first
+    floor(n (100 - percent) / percent) + 1 elements, in one order for all rows of the pivot. That order
+    puts what the pivot lacks first: what its rows have in common has no part in it, so the joined
+    prefixes are rare. A positional filter bounds the overlap, and the pairs left are verified exactly.
+    """
+    gone = F.concat(F.array_except("sx", "sy"), F.array_except("sy", "sx"))
+    # the pivot's set is part of its key, for rows that share an id may have several sets
+    diffs = _beside(rows, sets).select("x", F.xxhash64("y", "sy").alias("pivot"), F.size("sx").cast("long").alias("n"), "grp", gone.alias("d"))
+    diffs = materialize(diffs.where(F.size("d") > 0), "diffs")
+    reach = F.floor(F.col("n") * (100 - percent) / percent).cast("int") + 1
+    spread = diffs.select("pivot", "x", "n", "grp", F.size("d").alias("size"), F.posexplode(F.slice("d", F.lit(1), reach)).alias("at", "token"))
+    near = [("x", "z"), ("n", "zn"), ("grp", "zgrp"), ("size", "zsize"), ("at", "zat")]
+    other = spread.select("pivot", "token", *[F.col(a).alias(b) for a, b in near])
+    most = F.least(F.col("size") - F.col("at"), F.col("zsize") - F.col("zat"))
+    slack = (F.col("n") + F.col("zn")) * (100 - percent)
+    able = (2 * most * (100 + percent) >= (F.col("size") + F.col("zsize")) * (100 + percent) - slack) & (F.abs(F.col("size") - F.col("zsize")) * (100 + percent) <= slack)
+    alike = 100 * F.least("n", "zn") >= percent * F.greatest("n", "zn")
+    cand = spread.join(other, ["pivot", "token"]).where((F.col("x") < F.col("z")) & (F.col("grp") != F.col("zgrp")) & able & alike)
+    cand = materialize(cand.groupBy("x", "z").agg(F.min("pivot").alias("pivot")), "cand")
+    one = cand.join(diffs.select("pivot", "x", "n", F.col("d").alias("dx")), ["pivot", "x"])
+    two = one.join(diffs.select("pivot", F.col("x").alias("z"), F.col("n").alias("zn"), F.col("d").alias("dz")), ["pivot", "z"])
+    apart = F.size("dx") + F.size("dz") - 2 * F.size(F.array_intersect("dx", "dz"))
+    links = materialize(two.where(apart * (100 + percent) <= (F.col("n") + F.col("zn")) * (100 - percent)).select("x", F.col("z").alias("y")).distinct(), "more")
+    release(diffs)
+    return links
 
 
 def common_sizes(sets: list[np.ndarray], chunk: int = 8192) -> np.ndarray:
@@ -122,64 +155,6 @@ def common_sizes(sets: list[np.ndarray], chunk: int = 8192) -> np.ndarray:
     return out
 
 
-def _within(percent: int):
-    """Over rows (rep, grp, part, split, block, shingles) in the order of their block: links (x, y) that join different groups, at most one a row."""
-
-    def block(rep, grp, part, split, sets):
-        if (grp == grp[0]).all():
-            return
-        n = np.array([len(s) for s in sets], float)
-        common = common_sizes(sets)
-        ok = (100 * common >= percent * (n[:, None] + n[None, :] - common)) & (grp[:, None] != grp[None, :])
-        if split:
-            ok &= part[:, None] != part[None, :]
-        i, j = np.nonzero(np.triu(ok, 1))
-        # rows of a group are one node already; keep a spanning forest of what the links add
-        _, node = np.unique(grp, return_inverse=True)
-        root = list(range(int(node.max()) + 1))
-
-        def top(v):
-            while root[v] != v:
-                root[v] = root[root[v]]
-                v = root[v]
-            return v
-
-        for u, v in zip(i.tolist(), j.tolist(), strict=True):
-            a, b = top(int(node[u])), top(int(node[v]))
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                yield int(rep[u]), int(rep[v])
-
-    def run(batches):
-        held = None
-
-        def links(rows: pa.Table):
-            found = []
-            if len(rows):
-                key = rows["block"].to_numpy()
-                rep, grp, part, split = (rows[c].to_numpy() for c in ("rep", "grp", "part", "split"))
-                lists = rows["shingles"].combine_chunks()
-                offs, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-                cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    if b - a > 1:
-                        found += block(rep[a:b], grp[a:b], part[a:b], bool(split[a]), [flat[offs[r] : offs[r + 1]] for r in range(a, b)])
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["x", "y"])
-
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if held is not None:
-                rows = pa.concat_tables([held, rows])
-            key = rows["block"].to_numpy()
-            last = int(np.flatnonzero(key == key[-1])[0])
-            held = rows.slice(last)
-            yield links(rows.slice(0, last))
-        if held is not None:
-            yield links(held)
-
-    return run
-
-
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 85, seed: int = 11) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept.
 
@@ -190,10 +165,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class from the start. Rows that share an id are one node; those without an id are linked with
     nothing, have no component and are kept. Empty tables give no rows.
 
-    In each table bucket every class first meets the one with the least id. Buckets that the links so
-    far leave in several groups are then compared whole, in blocks of at most 2 * BLOCK sets and on
-    full sets, so that nothing that shares a bucket goes unverified unless it is already connected;
-    only links that join two groups leave a block.
+    In each table every class first meets its bucket's pivot, the one with the least id. In buckets that
+    the links so far leave in several groups, classes of different groups are then compared by their
+    differences to the pivot (``_across``), so that nothing that shares a bucket goes unverified unless
+    it is already connected. A pair in many buckets is compared once, and what is shuffled is in
+    proportion to the classes, however large a bucket is.
     """
     m = entries(percent)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -206,25 +182,26 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = classes.select(key.alias("key"), "rep", "n")
     pivots = keyed.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("p"), F.count("*").alias("c")).where("c > 1")
     pivots = materialize(pivots.select("key", F.col("p.rep").alias("p"), F.col("p.n").alias("pn"), "c"), "pivots")
-    met = materialize(keyed.join(pivots, "key"), "met")
+    met = materialize(keyed.join(pivots, "key").where(F.col("rep") != F.col("p")), "met")
+    release(pivots)
     near = 100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")
-    cand = met.where((F.col("rep") != F.col("p")) & near).select(F.col("rep").alias("x"), F.col("p").alias("y")).distinct()
-    links = _verified(materialize(cand, "cand"), src, k, percent)
+    cand = met.groupBy(F.col("rep").alias("x"), F.col("p").alias("y")).agg(F.max(near).alias("near"), F.max(F.col("c") > 2).alias("several"))
+    cand = materialize(cand.where("near or several"), "cand")
+    sets = _sets_of(cand.select(F.explode(F.array("x", "y")).alias("id")), src, k)
+    links = _verified(cand.where("near").select("x", "y"), sets, percent)
     comp = materialize(connected_components(links, "x", "y"), "comp")
 
-    rows = met.where("c > 2").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
-    rows = materialize(rows.select("key", "rep", "c", F.coalesce("component", "rep").alias("grp")), "grouped")
+    # buckets of three or more classes in several groups; the pivot's own group is that of its component
+    of = comp.select(F.col("id").alias("rep"), "component")
+    rows = met.where("c > 2").join(of, "rep", "left").withColumn("grp", F.coalesce("component", "rep"))
     split = rows.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("key")
     rows = rows.join(materialize(split, "several"), "key", "left_semi")
-    parts = F.ceil(F.col("c") / BLOCK).cast("int")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(seed)), parts).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
-    rows = rows.select("rep", "grp", "part", (F.col("with") != F.col("part")).alias("split"), F.xxhash64("key", F.least("part", "with"), F.greatest("part", "with")).alias("block"))
-    rows = materialize(rows, "rows")
+    rows = materialize(rows.select(F.col("rep").alias("x"), F.col("p").alias("y"), "grp").distinct(), "rows")
+    release(met)
     if rows.take(1):
-        sets = _sets_of(rows.select(F.col("rep").alias("id")), src, k).withColumnRenamed("id", "rep")
-        blocks = rows.join(sets, "rep").repartition("block").sortWithinPartitions("block")
-        links = links.unionByName(materialize(blocks.mapInArrow(_within(percent), "x long, y long"), "more"))
+        links = links.unionByName(_across(rows, sets, percent))
         comp = materialize(connected_components(links, "x", "y"), "comp")
+    release(sets)
 
     named = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     named = materialize(named.where("members > 1 or component <> rep").select("f1", "f2", "n", "component"), "named")
