@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weftline.plans.shared import materialize, release
@@ -10,26 +10,27 @@ from weftline.plans.shared import materialize, release
 MAX_ROUNDS = 60
 
 
-def _stamp(edges: DataFrame) -> tuple:
+def _stamped(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, and their count and checksums, observed while they are written."""
     h = F.xxhash64("u", "v")
-    row = edges.agg(F.count("*"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(h, 32))).first()
-    return tuple(row)
+    seen = Observation()
+    marks = [F.count("*").alias("n"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned(h, 32)).alias("high")]
+    out = materialize(edges.observe(seen, *marks), "edges")
+    return out, tuple(seen.get[k] for k in ("n", "low", "high"))
 
 
-def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
+def _star(edges: DataFrame, both_ways: bool) -> tuple[DataFrame, tuple]:
     """``edges``: (u, v) with u > v. Hang the neighbours of each node on the least of them."""
     flow = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if both_ways else edges
-    flow = materialize(flow, "flow") if both_ways else flow
+    # written, so that the planner knows its size: a hub's rows are then split by AQE's skew join
     least = materialize(flow.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    out = flow.join(least, "u")
     if both_ways:
-        out = flow.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = out.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        out = flow.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        out = out.unionByName(least.select("u", F.col("m").alias("v")))
-    out = materialize(out.where(F.col("u") != F.col("v")).distinct(), "edges")
+        out = out.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+    out = _stamped(out.where(F.col("u") != F.col("v")).distinct())
     release(least)
-    if both_ways:
-        release(flow)
     return out
 
 
@@ -42,16 +43,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """
     raw = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     raw = materialize(raw.distinct(), "raw")
-    now = materialize(raw.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    seen = _stamp(now)
+    now, seen = _stamped(raw.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(MAX_ROUNDS):
         if not seen[0]:
             break
-        big = _star(now, True)
-        nxt = _star(big, False)
+        big, _ = _star(now, True)
+        nxt, stamp = _star(big, False)
         release(big)
         release(now)
-        stamp, now = _stamp(nxt), nxt
+        now = nxt
         if stamp == seen:
             break
         seen = stamp
