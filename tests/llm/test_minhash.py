@@ -100,3 +100,13 @@ def test_tensored_entries_bound_the_miss():
         assert 2 * (1 - t * t) ** m <= minhash.MISS
     a, b = minhash.collections([np.arange(50, dtype=np.uint64)] * 2, 4, 1)
     assert (a[0] == a[1]).all() and a.shape == (2, 4) == b.shape and len(set(a[0]) | set(b[0])) == 8
+
+
+def test_bitmaps_bound_the_difference():
+    g = np.random.default_rng(4)
+    sets = [np.unique(g.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 30, 300, 0)] + [np.zeros(0, np.uint64)]
+    sets.append(np.union1d(sets[1], sets[0]))
+    bits = np.stack(minhash.bitmaps(sets), 1)
+    for a in range(len(sets)):
+        for b in range(len(sets)):
+            assert int(np.bitwise_count(bits[a] ^ bits[b]).sum()) <= len(np.setxor1d(sets[a], sets[b]))

@@ -20,6 +20,9 @@ from weftline.plans.shared import join_checked, materialize, release
 from .textkernel import U64, list_array, mix, shingles, steps, utf8, words
 
 MISS = 1e-4
+#: Words of 64 bits in a set's bitmap.
+WORDS = 4
+BITS = [f"b{w}" for w in range(WORDS)]
 SIGNED = "doc_id long, n long, f1 long, f2 long, a array<long>, b array<long>"
 
 
@@ -72,27 +75,44 @@ def _signed(k: int, m: int, seed: int):
     return run
 
 
+def bitmaps(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """WORDS columns of 64 bits: a set's bit is how many of its elements have that number, modulo 2.
+
+    An element in which two sets differ changes one bit, so they differ in as many elements as bits at least.
+    """
+    out = [np.zeros(len(sets), U64) for _ in range(WORDS)]
+    full = [i for i, s in enumerate(sets) if len(s)]
+    if full:
+        flat, heads = np.concatenate([sets[i] for i in full]), np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
+        bit, word = U64(1) << (flat & U64(63)), (flat >> U64(6)) % U64(WORDS)
+        for w in range(WORDS):
+            out[w][full] = np.bitwise_xor.reduceat(np.where(word == U64(w), bit, U64(0)), heads)
+    return out
+
+
 def _sets(k: int):
     def run(batches):
         for batch in batches:
             data, offs = utf8(batch.column(1))
             for a, b in steps(offs):
                 word, at, _ = words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), list_array(shingles(word, at, k))], names=["id", "shingles"])
+                sets = shingles(word, at, k)
+                bits = [pa.array(c.view(np.int64)) for c in bitmaps(sets)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), list_array(sets), *bits], names=["id", "shingles", *BITS])
 
     return run
 
 
 def _sets_of(ids: DataFrame, src: DataFrame, k: int) -> DataFrame:
-    """(id, shingles) of the documents in ``ids`` (id), computed anew from their texts."""
+    """(id, shingles, bitmap) of the documents in ``ids`` (id), computed anew from their texts."""
     who = materialize(ids.distinct(), "who")
     texts = join_checked(src, who.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi", 200_000)
-    return materialize(texts.mapInArrow(_sets(k), "id long, shingles array<long>"), "sets")
+    return materialize(texts.mapInArrow(_sets(k), "id long, shingles array<long>, " + ", ".join(f"{b} long" for b in BITS)), "sets")
 
 
 def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (x, y, ...) with the full shingle sets sx and sy."""
-    both = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("sx")), "x")
+    """``pairs`` (x, y, ...) with the full shingle sets sx and sy, and the bitmap of x."""
+    both = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("sx"), *BITS), "x")
     return both.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("sy")), "y")
 
 
@@ -111,20 +131,22 @@ def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows of which one at least is not linked with the pivot then share one of their first
     floor(n (100 - percent) / percent) + 1 elements, in one order for all rows of the pivot. That order
     puts what the pivot lacks first: what its rows have in common has no part in it, so the joined
-    prefixes are rare. A positional filter bounds the overlap, and the pairs left are verified exactly.
+    prefixes are rare. Positional and bitmap filters bound the overlap, and the pairs left are verified exactly.
     """
     gone = F.concat(F.array_except("sx", "sy"), F.array_except("sy", "sx"))
     # the pivot's set is part of its key, for rows that share an id may have several sets
-    diffs = _beside(rows, sets).select("x", F.xxhash64("y", "sy").alias("pivot"), F.size("sx").cast("long").alias("n"), "grp", gone.alias("d"))
+    diffs = _beside(rows, sets).select("x", F.xxhash64("y", "sy").alias("pivot"), F.size("sx").cast("long").alias("n"), "grp", gone.alias("d"), *BITS)
     diffs = materialize(diffs.where(F.size("d") > 0), "diffs")
     reach = F.floor(F.col("n") * (100 - percent) / percent).cast("int") + 1
-    spread = diffs.select("pivot", "x", "n", "grp", F.size("d").alias("size"), F.posexplode(F.slice("d", F.lit(1), reach)).alias("at", "token"))
-    near = [("x", "z"), ("n", "zn"), ("grp", "zgrp"), ("size", "zsize"), ("at", "zat")]
+    spread = diffs.select("pivot", "x", "n", "grp", *BITS, F.size("d").alias("size"), F.posexplode(F.slice("d", F.lit(1), reach)).alias("at", "token"))
+    near = [("x", "z"), ("n", "zn"), ("grp", "zgrp"), ("size", "zsize"), ("at", "zat"), *[(b, f"z{b}") for b in BITS]]
     other = spread.select("pivot", "token", *[F.col(a).alias(b) for a, b in near])
     most = F.least(F.col("size") - F.col("at"), F.col("zsize") - F.col("zat"))
     slack = (F.col("n") + F.col("zn")) * (100 - percent)
     able = (2 * most * (100 + percent) >= (F.col("size") + F.col("zsize")) * (100 + percent) - slack) & (F.abs(F.col("size") - F.col("zsize")) * (100 + percent) <= slack)
     alike = 100 * F.least("n", "zn") >= percent * F.greatest("n", "zn")
+    bits = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"z{b}"))) for b in BITS)
+    able &= bits * (100 + percent) <= slack
     cand = spread.join(other, ["pivot", "token"]).where((F.col("x") < F.col("z")) & (F.col("grp") != F.col("zgrp")) & able & alike)
     cand = materialize(cand.groupBy("x", "z").agg(F.min("pivot").alias("pivot")), "cand")
     one = cand.join(diffs.select("pivot", "x", "n", F.col("d").alias("dx")), ["pivot", "x"])
