@@ -318,11 +318,17 @@ def captured(pages: DataFrame, every: int = 20) -> DataFrame:
     """Archive ``pages``, read the archives back, and look up the URLs of every id divisible by ``every``.
 
     One row a page: page_id, payload_bytes, payload_digest, record_type, refers_to, url_captures (captures
-    of just this URL that the index finds and whose records are where it says; null for other pages).
+    of just this URL that the index finds and whose records are where it says; null for other pages; where
+    rows of one id have several URLs, the most). A null URL is an empty one. Pages without an id are
+    archived and have no captures to count; repeated rows are captures of their own.
     """
     archive = write(pages)
     rows = read_back(archive)
-    asked = pages.where(F.col("page_id") % every == 0).select("page_id", "url").distinct()
-    found = lookup(archive, asked).where("matched").groupBy("query_id").agg(F.countDistinct("page_id").alias("url_captures"))
+    asked = materialize(pages.where(F.col("page_id") % every == 0).select("page_id", "url").distinct(), "asked")
+    # each URL is looked up once, however many pages have it
+    urls = materialize(asked.select("url").distinct().select(F.monotonically_increasing_id().alias("query_id"), "url"), "urls")
+    found = lookup(archive, urls, "query_id").where("matched").groupBy("query_id").agg(F.countDistinct("page_id").alias("url_captures"))
+    found = urls.join(materialize(found, "found"), "query_id").select(F.col("url").alias("__url"), "url_captures")
+    found = asked.join(found, F.col("url").eqNullSafe(F.col("__url"))).groupBy(F.col("page_id").alias("query_id")).agg(F.max("url_captures").alias("url_captures"))
     found = materialize(found, "found")
     return join_checked(rows, found, F.col("page_id") == F.col("query_id"), "left").drop("query_id")
