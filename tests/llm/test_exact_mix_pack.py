@@ -108,9 +108,8 @@ def test_packing_matches_tokenizer(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     rng = random.Random(1)
-    odd = ["", " ", "a  b", " lead", "trail ", "tab\t x", "a \n b", "nb sp ace", "x　 y", "it's 12 can't", "z" * 3000, None, "²³ x¼", "é a", "<|endoftext|> x", "a\x1c b"]
+    odd = ["", " ", "a  b", " lead", "trail ", "tab\t x", "a \n b", "nb sp ace", "x　 y", "it's 12 can't", "z" * 3000, None, "²³ x¼", "é a", "<|endoftext|> x", "a <|endoftext|> b", "a<|endoftext|>b", "q <|endoftext|>", "a\x1c b"]
     rows = [(i, t, "s") for i, t in enumerate(odd)] + [(100 + i, " ".join(rng.choice(["the", "Zebra,", "naïve", "12", "\n", "", "über"]) for _ in range(rng.randrange(4000))), "s") for i in range(60)]
     out = packing.packed(docs(spark, rows), tokenizer_path()).collect()
     per, seq = defaultdict(list), defaultdict(list)

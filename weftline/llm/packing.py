@@ -44,7 +44,7 @@ class TokenMemo:
     goes to the library's BPE model itself; any other goes through its whole encoder.
     """
 
-    def __init__(self, path: str, special: bool = False):
+    def __init__(self, path: str, special: bool = True):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
