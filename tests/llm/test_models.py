@@ -94,24 +94,53 @@ def test_pseudo_likelihood(spark):
     shuffled = [(i + 5000, " ".join(rng.sample(t.split(), len(t.split())))) for i, t in docs]
     ordered = [(i, " ".join(itertools.islice(itertools.cycle(["the", "river", "walks", "under", "light"]), 60))) for i, _ in docs]
     d = spark.createDataFrame([(i, t, 1) for i, t in ordered + shuffled + MESSY], "doc_id long, text string, n_words int")
-    out = pseudolik.scored(d, pseudolik.train(d, rounds=12)).collect()
+    model = pseudolik.train(d, rounds=6, stride=1, known=20)
+    out = pseudolik.scored(d, model).collect()
     assert len(out) == 400 + len(MESSY)
     by = {r.doc_id: r for r in out}
     for i, t in ordered[:20] + MESSY[1:6]:
         assert by[i].n_words == len((t or "").split()) and (by[i].mean_log_probability is None) == (by[i].n_words == 0)
-    mean = lambda rows: np.mean([by[i].mean_log_probability for i, _ in rows])
+    mean = lambda rows, by=by: np.mean([by[i].mean_log_probability for i, _ in rows])
     assert mean(ordered) > mean(shuffled) + 0.3
+    # texts that it was not trained on: well above single words
+    fresh = spark.createDataFrame([(i, " ".join(itertools.islice(itertools.cycle(["the", "river", "walks", "under", "light"]), i % 5, 40 + i % 5)), 1) for i in range(50)], d.schema)
+    got = [r.mean_log_probability for r in pseudolik.scored(fresh, model).collect()]
+    alone = [r.mean_log_probability for r in pseudolik.scored(fresh, pseudolik.train(d, rounds=0, known=20)).collect()]
+    assert np.mean(got) > np.mean(alone) + 0.5
     assert pseudolik.scored(d.limit(0), pseudolik.train(d.limit(0))).count() == 0
 
 
+def test_scores_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(pseudolik, "SHARD", 5000)
+    docs, _ = corpus(200)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    one, two = [{r.doc_id: r.pseudo_log_likelihood for r in pseudolik.scored(x, pseudolik.train(x, stride=2)).collect()} for x in (d.repartition(1), d.repartition(7))]
+    assert all(one[i] == pytest.approx(two[i], abs=1e-3) for i, _ in docs)
+
+
+def test_counts_are_of_single_words(spark):
+    """Without training the score is the brute-force log-likelihood of single words, whether they have leaves of their own or not."""
+    docs, _ = corpus(60)
+    d = spark.createDataFrame(docs + MESSY[1:], "doc_id long, text string")
+    told = [w.lower() for _, t in docs + MESSY[1:] for w in (t or "").split()]
+    count = {w: told.count(w) for w in set(told)}
+    got = {r.doc_id: r.pseudo_log_likelihood for r in pseudolik.scored(d, pseudolik.train(d, rounds=0, known=6)).collect()}
+    # leaves without words count as one occurrence
+    total = len(told) + pseudolik.REST - len({w for w in count if sorted(count.values())[-6] > count[w]})
+    for i, t in docs:
+        want = sum(np.log(count[w.lower()] / total) for w in t.split())
+        assert got[i] == pytest.approx(want, rel=0.02)
+
+
 def test_log_probability_is_a_distribution():
-    net = pseudolik.Window.fresh()
-    around = np.array([[0], [5], [pseudolik.EDGE], [3]])
-    total = sum(np.exp(net.log_probability(around, np.array([c])))[0] for c in range(pseudolik.CLASSES))
-    assert total == pytest.approx(1, abs=1e-5)
+    vocab = pseudolik.vocabulary(np.arange(10, dtype=np.uint64) * np.uint64(7), np.arange(1, 11), np.ones(pseudolik.REST, np.int64))
+    net = pseudolik.Window.fresh(vocab)
+    net.table[: len(vocab.start), :-1] = np.random.default_rng(0).standard_normal((len(vocab.start), pseudolik.HIDDEN))
+    around = np.array([[0], [5], [len(vocab.counts)], [3]])
+    leaves = np.arange(len(vocab.counts))
+    assert np.exp(net.log_probability(np.repeat(around, len(leaves), 1), leaves)).sum() == pytest.approx(1, abs=1e-5)
     before = net.log_probability(around, np.array([7]))[0]
-    g = net.gradients(around, np.array([7]))
-    net.obias -= (0.01 * g[3]).astype(np.float32)
+    net.learn(around, np.array([7]), np.zeros(len(net.table)), np.zeros(len(net.table)), 0.02)
     assert net.log_probability(around, np.array([7]))[0] > before
 
 

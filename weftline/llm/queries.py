@@ -42,8 +42,7 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return pseudolik.scored(docs, pseudolik.train(docs))
+    return pseudolik.corpus_scored(pseudolik.train(table(spark, sf_dir, "documents")))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
