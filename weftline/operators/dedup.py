@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_seen(df: DataFrame, key: list[Column], order: list) -> DataFrame:
-    """``df`` with ``kept``: the first row of each key in the order given."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("kept", F.row_number().over(w) == 1)
+def first_seen(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``kept``: the first row of each key in the order of the columns given, which must tell its rows apart.
+
+    The first of a key is a minimum with partial aggregation that is joined back, so that a key with many
+    rows is no task of its own. Nulls are one key.
+    """
+    best = df.groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(F.min(F.struct(*order)).alias("__first"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key])
+    return df.join(best, same).withColumn("kept", F.struct(*order).eqNullSafe(F.col("__first"))).select(*df.columns, "kept")
 
 
 def focus_dedup(df: DataFrame, key: str, focus: Column, order: str) -> DataFrame:
-    """One row a key: the last that is in focus, or else the first."""
+    """One row a key: the last that is in focus, or else the first. An aggregate: rows of a key are reduced before they are shuffled."""
     f = F.coalesce(focus, F.lit(False))
-    rank = F.when(f, -F.col(order)).otherwise(F.col(order))
-    w = Window.partitionBy(key).orderBy(f.cast("int").desc(), rank)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    rank = F.struct((~f).alias("a"), F.when(f, -F.col(order)).otherwise(F.col(order)).alias("b"))
+    return df.groupBy(key).agg(F.min_by(F.struct(*df.columns), rank).alias("__r")).select("__r.*")

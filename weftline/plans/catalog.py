@@ -84,7 +84,7 @@ def content_digest_counts(spark, d):
     return docs.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.countDistinct(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("distinct_texts"))
 
 
-@query()
+@query("""SELECT count(*) AS n, CAST(sum(CAST('0x' || substr(sha256(concat_ws(chr(31), CAST(doc_id AS VARCHAR), coalesce(text, chr(0)), coalesce(lang, chr(0)), coalesce(source, chr(0)), CAST(n_chars AS VARCHAR))), 1, 15) AS BIGINT)) % 2305843009213693951 AS BIGINT) AS digest FROM documents""")
 def dataset_digest(spark, d):
     return report.dataset_digest(table(spark, d, "documents"))
 
@@ -139,7 +139,7 @@ def ordered_suffix_rules(spark, d):
     return docs.select("doc_id", text.first_match(s, [("noun", "tion$"), ("modifier", "(ly|ing)$"), ("past", "ed$")], "other").alias("label"))
 
 
-@query(r"""WITH w AS (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM documents),
+@query(r"""WITH w AS (SELECT unnest(string_split(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' ')) AS w FROM documents),
     c AS (SELECT w, count(*) AS n FROM w WHERE w <> '' GROUP BY w)
     SELECT a.w[:length(a.w) - 2] AS word, a.n AS suffixed, b.n AS bare FROM c a JOIN c b ON b.w = a.w[:length(a.w) - 2]
     WHERE a.w LIKE '%ed' AND length(a.w) > 2 AND a.n >= 0.5 * b.n""")
@@ -153,7 +153,7 @@ def longest_first(spark, d):
     return w.select("w", F.length("w").cast("long").alias("n")).orderBy(F.desc("n"), "w").limit(50)
 
 
-@query()
+@query("SELECT * FROM (VALUES (1, 'pQ'), (2, 'xQx'), (3, ''), (4, NULL)) t(id, text)")
 def script_conversion(spark, d):
     """Three chained longest-match passes over literal texts."""
     rows = spark.createDataFrame([(1, "abcab"), (2, "xabx"), (3, ""), (4, None)], "id int, text string")
@@ -163,7 +163,7 @@ def script_conversion(spark, d):
     return rows.select("id", out.alias("text"))
 
 
-@query()
+@query("SELECT * FROM (VALUES (1, '정령은 왔다', '엑사는 왔다가'), (2, '정령을 본다', '엑사를 본다가'), (3, '나라', '나라가')) t(id, text, with_particle)")
 def name_agreement(spark, d):
     """Names replaced in literal texts, the particle after each re-agreed."""
     rows = spark.createDataFrame([(1, "엑사는 왔다"), (2, "엑사를 본다"), (3, "나라")], "id int, text string")
@@ -224,33 +224,11 @@ def exchange_records(spark, d):
     return out.select("conv_id", "exchange", state.alias("state"), text.preview(F.col("answer")).alias("preview"))
 
 
-@query("SELECT b.item_id, count(*) AS n_docs, min(d.doc_id) AS first_doc FROM benchmark b JOIN documents d ON contains(d.text, b.text) GROUP BY b.item_id")
+@query("SELECT b.item_id, count(*) AS n_docs, min(d.doc_id) AS first_doc FROM benchmark b JOIN documents d ON contains(d.text, b.text) WHERE b.text <> '' GROUP BY b.item_id")
 def target_leakage(spark, d):
-    """Documents that hold a benchmark text whole: candidates by a shared run of words, then verified.
-
-    The run is the item's first four words (all, if it has fewer); every place of a document gives one
-    such key, and only rare keys meet, so there is no product of the tables.
-    """
-    return _leaks(table(spark, d, "documents", ["doc_id", "text"]), table(spark, d, "benchmark")).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
-
-
-def _leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    keyed = items.where("text <> ''").withColumn("ws", words(F.col("text")))
-    # words two to five: whole in any text that holds the item, whatever stands against its ends
-    keyed = keyed.withColumn("size", F.least(F.size("ws") - 2, F.lit(4)))
-    keyed = keyed.select("item_id", F.col("text").alias("item"), "size", F.xxhash64(F.array_join(F.slice("ws", F.lit(2), F.greatest("size", F.lit(0))), " ")).alias("key")).where("size >= 1")
-    sizes = [r[0] for r in keyed.select("size").distinct().collect()]  # at most four
-    found = None
-    for n in sizes:
-        ws = docs.select("doc_id", "text", words(F.col("text")).alias("ws")).where(F.size("ws") >= n + 2)
-        at = F.sequence(F.lit(2), F.size("ws") - n)
-        places = ws.select("doc_id", F.explode(F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice("ws", i, n), " "))))).alias("key"))
-        hits = places.join(keyed.where(F.col("size") == n), "key").select("doc_id", "item_id", "item")
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        return docs.select("doc_id", F.lit(None).cast("long").alias("item_id")).limit(0)
-    return found.join(docs, "doc_id").where(F.contains("text", "item")).select("doc_id", "item_id").distinct()
+    """Documents that hold a benchmark text whole, whatever its length; empty items are in none."""
+    leaks = classify.containing(table(spark, d, "documents", ["doc_id", "text"]), table(spark, d, "benchmark"))
+    return leaks.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
 @query("""WITH c AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations)
@@ -496,7 +474,7 @@ def running_history(spark, d):
     return h.select("conv_id", "exchange", F.size("earlier").cast("long").alias("n_earlier"), F.aggregate("earlier", F.lit(0).cast("long"), lambda a, m: a + F.length(m["answer"])).alias("answer_chars"))
 
 
-@query()
+@query("""SELECT 7 AS group_no, * FROM (VALUES ('rain', 'hello', NULL), ('stay', 'good later', 'hello'), ('go', 'bye', 'hello'), ('elf: wait', 'later', 'bye')) t(user_items, answer, previous)""")
 def branching_walk(spark, d):
     """A literal script with a choice of two options whose branches rejoin."""
     S, C, N = sequence.SPEECH, sequence.CHOICE, sequence.NARRATION
@@ -511,7 +489,7 @@ def branching_walk(spark, d):
 @query("""SELECT doc_id, row_number() OVER (PARTITION BY sha256(coalesce(text, '')) ORDER BY doc_id) = 1 AS kept FROM documents""")
 def exact_dedup(spark, d):
     docs = table(spark, d, "documents", ["doc_id", "text"]).select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    return dedup.first_seen(docs, [F.col("h")], ["doc_id"]).select("doc_id", "kept")
+    return dedup.first_seen(docs, ["h"], ["doc_id"]).select("doc_id", "kept")
 
 
 FOCUS_SQL = """f AS (SELECT d.doc_id, d.source, d.lang, length(d.text) AS n, sha256(d.text) AS h, coalesce(l.toxic = 1, false) AS focus FROM documents d LEFT JOIN labels l USING (doc_id)),
@@ -713,7 +691,7 @@ def pipeline_funnel(spark, d):
     docs = table(spark, d, "documents", ["doc_id", "text"])
     full = docs.where(~text.is_empty_text(F.col("text")))
     ok, _ = classify.gate(full, F.when(F.contains(F.lower("text"), F.lit("secret")), "secret"), "policy", ["doc_id"])
-    once = dedup.first_seen(ok, [F.sha2("text", 256)], ["doc_id"]).where("kept").select("doc_id")
+    once = dedup.first_seen(ok.withColumn("h", F.sha2("text", 256)), ["h"], ["doc_id"]).where("kept").select("doc_id")
     once = materialize(once, "once")
     return report.funnel([("read", docs), ("not_empty", full), ("gate", ok), ("dedup", once), ("train", once.where(hashing.held_out_split(F.col("doc_id").cast("string")) == "train"))])
 
@@ -745,3 +723,6 @@ def events_tumbling(spark, d):
     SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""")
 def events_session(spark, d):
     return events.sessions(table(spark, d, "events", ["ts", "user_id"])).select("user_id", "start", "n")
+
+
+from weftline.plans import records as _records  # noqa: E402, F401  (registers its queries)
