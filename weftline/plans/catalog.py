@@ -474,7 +474,7 @@ def running_history(spark, d):
     return h.select("conv_id", "exchange", F.size("earlier").cast("long").alias("n_earlier"), F.aggregate("earlier", F.lit(0).cast("long"), lambda a, m: a + F.length(m["answer"])).alias("answer_chars"))
 
 
-@query("""SELECT 7 AS group_no, * FROM (VALUES ('rain', 'hello', NULL), ('stay', 'good later', 'hello'), ('go', 'bye', 'hello'), ('elf: wait', 'later', 'bye')) t(user_items, answer, previous)""")
+@query("""SELECT CAST(7 AS BIGINT) AS group_no, * FROM (VALUES ('rain', 'hello', NULL), ('stay', 'good later', 'hello'), ('go', 'bye', 'hello'), ('elf: wait', 'later', 'bye')) t(user_items, answer, previous)""")
 def branching_walk(spark, d):
     """A literal script with a choice of two options whose branches rejoin."""
     S, C, N = sequence.SPEECH, sequence.CHOICE, sequence.NARRATION
