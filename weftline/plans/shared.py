@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset and Spark runs in this one process (tests)."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     own = sc._jsc.sc().getCheckpointDir()
     if own.isEmpty():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-"))
         own = sc._jsc.sc().getCheckpointDir()
     return own.get().rstrip("/")
