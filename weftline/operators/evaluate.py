@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-from weftline.functions.text import strip
+from pyspark.sql.types import StringType
 
 
 def top_word_share(c: Column) -> Column:
@@ -21,16 +24,28 @@ def top_word_share(c: Column) -> Column:
     return F.when(F.size(words) > 0, best / F.size(words))
 
 
-def degenerate(c: Column) -> Column:
-    """empty_response, repetition_collapse (over 0.4 one word of at least 5), character_collapse (under 0.15 distinct of at least 10), or null."""
-    t = strip(F.coalesce(c, F.lit("")))
-    n_words = F.size(F.filter(F.split(t, r"(?U)\s+"), lambda w: w != ""))
-    chars = F.size(F.array_distinct(F.filter(F.split(t, "(?s)"), lambda x: x != "")))
-    return (
-        F.when(t == "", "empty_response")
-        .when((n_words >= 5) & (top_word_share(t) > 0.4), "repetition_collapse")
-        .when((F.length(t) >= 10) & (chars / F.length(t) < 0.15), "character_collapse")
-    )
+#: Characters with the Unicode property White_Space.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+@F.pandas_udf(StringType())
+def degenerate(s: pd.Series) -> pd.Series:
+    """empty_response, repetition_collapse (over 0.4 one word of at least 5), character_collapse (under 0.15 distinct of at least 10), or null.
+
+    An Arrow function: built-in functions would sort a text's words and hold a string for each of its characters.
+    """
+    gap = re.compile(f"[{WHITE}]+")
+
+    def kind(text):
+        words = [w for w in gap.split(text or "") if w]
+        if not words:
+            return "empty_response"
+        if len(words) >= 5 and max(Counter(words).values()) / len(words) > 0.4:
+            return "repetition_collapse"
+        inner = text[text.index(words[0]) : text.rindex(words[-1]) + len(words[-1])]
+        return "character_collapse" if len(inner) >= 10 and len(set(inner)) / len(inner) < 0.15 else None
+
+    return s.map(kind)
 
 
 def first_hit(c: Column, patterns: list[str]) -> Column:

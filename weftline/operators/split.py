@@ -14,7 +14,7 @@ SPLITS = ("train", "validation", "test")
 
 def check_ratios(ratios: tuple[float, float, float]) -> None:
     if any(not 0 <= r <= 1 for r in ratios) or abs(sum(ratios) - 1) > 1e-6:
-        raise ValueError(f"the three shares do not make a whole: {ratios}")
+        raise ValueError(f"the three ratios do not make a whole: {ratios}")
 
 
 def record_components(records: DataFrame, id_col: str, keys: list[Column]) -> DataFrame:
