@@ -1,7 +1,8 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
-A token weighs the lower confidence bound of its log-odds between toxic and clean documents, both
-rates shrunk by a Dirichlet prior to the rate in all of them. All other tokens cost a small drift.
+A token weighs its log-odds between toxic and clean documents, both rates shrunk by a Dirichlet prior
+to the rate in all of them, and taken at the confidence bound next to zero: above it for words of toxic
+texts, below it for words of clean ones. Tokens whose sign is open, or that are new, cost a small drift.
 A linear scan finds all maximal-scoring segments of a text; a segment of score s among n words is
 expected K n exp(-lambda s) times by chance (the extreme-value law of such maxima), and a document
 adds up -ln of that over its significant segments.
@@ -16,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.plans.shared import materialize, release
+
 from .quality import held_out, training_rows
 from .textkernel import LOWER, U64, _pow_table, mix, steps, utf8
 
-#: Labelled rows of each class that a fit takes; tokens that it keeps; rows of the Dirichlet prior to one training row.
-ROWS_PER_CLASS, TOKENS, PRIOR = 20_000, 20_000, 0.09
+#: Labelled rows of each class that a fit takes; rows of the Dirichlet prior to one training row.
+ROWS_PER_CLASS, PRIOR = 20_000, 0.09
 DRIFT, LEAST_ROWS, BOUND = 0.1, 3, 2.0
 #: A word also stands for its first so many bytes.
 STEMS = (5, 6, 7, 8)
@@ -68,30 +71,31 @@ class Weights:
     table: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def log_odds(self, toxic, clean, rows) -> np.ndarray:
-        """Lower bound of the log-odds, BOUND standard deviations under its mean."""
+        """The log-odds moved BOUND standard deviations towards zero; the drift where that crosses it."""
         t, c = np.asarray(toxic, float), np.asarray(clean, float)
         n1, n0 = rows
         prior = PRIOR * sum(self.rows)
         share = np.maximum(t + c, 1e-9) / (n1 + n0)
         a, b = t + prior * share, c + prior * share
         gap = np.log(a / (n1 + prior)) - np.log(b / (n0 + prior))
-        low = gap - BOUND * np.sqrt(1 / a + 1 / b)
-        return np.where(low > 0, low, -DRIFT)
+        slack = BOUND * np.sqrt(1 / a + 1 / b)
+        return np.where(gap > slack, gap - slack, np.minimum(gap + slack, -DRIFT))
 
     def scores(self, hashed: list[np.ndarray], own: int | None = None) -> np.ndarray:
-        """Score of each word: the best of its token's and its stems', or the drift. own: the class of a training text, whose own count is left out."""
+        """Score of each word: its token's, or a toxic stem's if that is more and the token does not speak against it. own: the class of a training text, whose own count is left out."""
         best = np.full(len(hashed[0]), -DRIFT)
         if not len(self.keys):
             return best
-        for h in hashed:
+        for k, h in enumerate(hashed):
             at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
             hit = np.flatnonzero(self.keys[at] == h)
             if own is None:
                 value = self.table[at[hit]]
             else:
                 t, c = self.toxic[at[hit]] - (own == 1), self.clean[at[hit]] - (own == 0)
-                value = np.where((t >= LEAST_ROWS), self.log_odds(np.maximum(t, 0), np.maximum(c, 0), (self.rows[0] - (own == 1), self.rows[1] - (own == 0))), -DRIFT)
-            best[hit] = np.maximum(best[hit], value)
+                value = self.log_odds(np.maximum(t, 0), np.maximum(c, 0), (self.rows[0] - (own == 1), self.rows[1] - (own == 0)))
+                value = np.where((value > 0) & (t < LEAST_ROWS), -DRIFT, value)
+            best[hit] = value if k == 0 else np.where(best[hit] >= -DRIFT, np.maximum(best[hit], value), best[hit])
         return best
 
     def finish(self) -> None:
@@ -183,9 +187,13 @@ def _evidence(w: Weights):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", rows: int = ROWS_PER_CLASS) -> tuple[Weights | None, float]:
     """Fit on at most ``rows`` labelled documents of each class, whole texts; and the share of class 1.
 
-    Token counts are summed over tasks; tokens with a positive bound, the TOKENS strongest, come to the
-    driver. lambda and K are fitted to the segments of clean training texts (their own counts left
-    out), the final curve to all training texts. With under two classes there is no model.
+    Token counts are summed over tasks; every token whose bound has a clear sign comes to the driver:
+    toxic ones are in LEAST_ROWS toxic rows or more, and a clean one has to be in some dozens of clean
+    rows, so their number is bounded by the tokens of the chosen rows. lambda and K are fitted to the
+    segments of clean training texts (their own counts left out), the final curve to one number of each
+    training text. With under two classes, or without labelled documents, there is no model and every
+    text scores the share of class 1. Null ids and labels teach nothing; an id with several labels
+    counts as the largest, and documents that repeat an id count each.
     """
     pick, there = training_rows(labels, label, rows)
     n0, n1 = there.get(0, 0), there.get(1, 0)
@@ -195,27 +203,30 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("t")).join(pick, "__id").select(F.col("__y").alias("y"), "t")
     k1, k0 = min(n1, rows), min(n0, rows)
     counts = chosen.mapInArrow(_counts, "h long, toxic long, clean long").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    counts = counts.where(F.col("toxic") >= LEAST_ROWS).where(F.col("toxic") * k0 > F.col("clean") * k1)
-    # weighs by the squared gap of rates over its variance, so that the strongest come first
-    rate = F.pow(F.col("toxic") / k1 - F.col("clean") / k0, F.lit(2)) / (F.col("toxic") + F.col("clean"))
-    got = counts.orderBy(F.desc(rate), "h").limit(TOKENS).collect()
-    got.sort(key=lambda r: r.h % 2**64)
-    w = Weights(np.array([r.h for r in got], np.int64).view(U64), np.array([r.toxic for r in got], float), np.array([r.clean for r in got], float), (k1, k0))
+    prior = PRIOR * (k1 + k0)
+    a, b = (F.col(c) + prior / (k1 + k0) * (F.col("toxic") + F.col("clean")) for c in ("toxic", "clean"))
+    gap, slack = F.log(a / (k1 + prior)) - F.log(b / (k0 + prior)), BOUND * F.sqrt(1 / a + 1 / b)
+    got = counts.where(((gap > slack) & (F.col("toxic") >= LEAST_ROWS)) | (gap + slack < -DRIFT)).toArrow()
+    keys = got["h"].to_numpy().view(U64)
+    order = np.argsort(keys)
+    w = Weights(keys[order], got["toxic"].to_numpy()[order].astype(float), got["clean"].to_numpy()[order].astype(float), (k1, k0))
     w.finish()
-    seen = chosen.mapInArrow(_evidence(w), "y int, n long, segments array<double>").collect()  # bounded by rows; a clean text has few segments
-    calibrate(w, [(r.y, r.n, np.array(r.segments or [])) for r in seen], share)
+    seen = materialize(chosen.mapInArrow(_evidence(w), "y int, n long, segments array<double>"), "segments")
+    calibrate(w, seen, share)
+    release(seen)
     return w, share
 
 
-def calibrate(w: Weights, seen: list[tuple[int, int, np.ndarray]], share: float) -> None:
-    """Fit the extreme-value law to clean texts and the logistic curve to all."""
-    clean = [(n, s) for y, n, s in seen if y == 0]
-    chance = np.concatenate([s for _, s in clean]) if clean else np.zeros(0)
-    length = max(1, sum(n for n, _ in clean))
-    lam = 1.0 / max(float(chance.mean()), 0.2) if len(chance) else 1.0
-    w.scale = (lam, (len(chance) + 0.5) / length)
-    x = np.log1p([w.evidence(s, n) for _, n, s in seen])
-    y = np.array([v for v, *_ in seen], float)
+def calibrate(w: Weights, seen: DataFrame, share: float) -> None:
+    """Fit the extreme-value law to clean texts and the logistic curve to all; ``seen`` has y, n and segments of each."""
+    total = F.aggregate("segments", F.lit(0.0), lambda a, s: a + s)
+    found, amount, length = seen.where("y = 0").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in (F.size("segments"), total, F.col("n")))).first()
+    lam = float(f"{1.0 / max(amount / found, 0.2) if found else 1.0:.9g}")  # whatever the order of the sum
+    w.scale = (lam, (found + 0.5) / max(1, length))
+    chance = float(np.log(w.scale[1])) + F.log(F.greatest("n", F.lit(1)))
+    evidence = F.aggregate("segments", F.lit(0.0), lambda a, s: a + F.greatest(F.lit(0.0), lam * s - chance))
+    rows = seen.select("y", F.log1p(evidence).alias("x")).orderBy("y", "x").toArrow()  # two numbers a training row
+    x, y = rows["x"].to_numpy(), rows["y"].to_numpy().astype(float)
     n1, n0 = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
     weight = np.where(y == 1, share / n1, (1 - share) / n0) * len(y)
     a, b = -2.0, 1.0
@@ -257,7 +268,8 @@ def _scored(w: Weights | None, share: float):
 def scored(docs: DataFrame, model: tuple[Weights | None, float], id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """One row a document: doc_id, held_out, score, predicted, passages (first word, end word, score of each significant one).
 
-    Null and empty texts have no passage and score as such; rows that repeat are scored alike.
+    Null and empty texts have no passage and score as such; rows that repeat are scored alike; a null
+    id stays null and so is its held_out; an empty table gives no row, and other columns are not read.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     out = src.mapInArrow(_scored(*model), "doc_id long, score double, passages array<struct<first:long,end:long,score:double>>")
