@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from .textkernel import steps, utf8
 
 SEGMENT, WIDTH, DIM, FILTERS, HIDDEN = 128, 8, 4, 32, 16
-#: Labelled rows of each class that a fit takes, and chunks of each row.
-ROWS_PER_CLASS, CHUNKS_PER_ROW = 2000, 8
+#: Labelled rows of each class that a fit takes, chunks of a row in one step, and passes over the rows.
+ROWS_PER_CLASS, CHUNKS_PER_ROW, EPOCHS = 2000, 8, 12
 CHUNK = 2 * SEGMENT + WIDTH - 1
 
 
@@ -52,8 +52,11 @@ class Net:
         return np.maximum(np.maximum(pooled + self.bias, 0) @ self.hid + self.hbias, 0) @ self.out + self.obias
 
 
-def fit(bags: list[tuple[list[bytes], int]], epochs: int = 12, seed: int = 5, rate: float = 4e-3, least_steps: int = 800) -> Net:
-    """Train on (chunks, label) rows with Adam, ``epochs`` times or more for ``least_steps`` steps; the pooled maximum passes its gradient to one window."""
+def fit(bags: list[tuple[list[bytes], int]], epochs: int = EPOCHS, seed: int = 5, rate: float = 4e-3, least_steps: int = 800) -> Net:
+    """Train on (chunks, label) rows with Adam, ``epochs`` times or more for ``least_steps`` steps; the pooled maximum passes its gradient to one window.
+
+    A row with more than CHUNKS_PER_ROW chunks shows the next so many of them in each epoch.
+    """
     epochs = max(epochs, -(-least_steps * 32 // len(bags)))
     net, g = Net.fresh(seed), np.random.default_rng(seed)
     m1, m2, t = [np.zeros_like(p) for p in net.parts()], [np.zeros_like(p) for p in net.parts()], 0
@@ -64,8 +67,9 @@ def fit(bags: list[tuple[list[bytes], int]], epochs: int = 12, seed: int = 5, ra
         order = g.permutation(len(bags))
         for i in range(0, len(order), 32):
             pick = order[i : i + 32]
-            own = np.repeat(np.arange(len(pick)), [len(codes[j]) for j in pick])
-            x = np.concatenate([codes[j] for j in pick])
+            turn = [codes[j][(epoch * CHUNKS_PER_ROW + np.arange(min(CHUNKS_PER_ROW, len(codes[j])))) % len(codes[j])] for j in pick]
+            own = np.repeat(np.arange(len(pick)), [len(c) for c in turn])
+            x = np.concatenate(turn)
             n, windows = len(x), CHUNK - WIDTH + 1
             e = net.emb[x].reshape(n, -1)
             view = np.lib.stride_tricks.as_strided(e, (n, windows, WIDTH * DIM), (e.strides[0], DIM * e.itemsize, e.itemsize), writeable=False)
@@ -131,14 +135,17 @@ def logits(net: Net, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _bags(batches):
-    """(label, chunks of the text, joined): evenly spaced over the whole text."""
+    """(label, chunks of the text): those that scoring pools, over the whole text, dealt in an order of their own.
+
+    A text with more than EPOCHS * CHUNKS_PER_ROW chunks gives so many: a fit shows no more of one row,
+    and they are drawn evenly from all.
+    """
     for batch in batches:
         out = []
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             raw = (text or "").encode()
-            n = max(1, min(CHUNKS_PER_ROW, -(-len(raw) // CHUNK)))
-            at = np.linspace(0, max(0, len(raw) - CHUNK), n).astype(int)
-            out.append((label, [raw[a : a + CHUNK] for a in at.tolist()]))
+            order = np.random.default_rng(len(raw)).permutation(max(1, -(-len(raw) // SEGMENT) - 1))[: EPOCHS * CHUNKS_PER_ROW]
+            out.append((label, [raw[a : a + CHUNK] for a in (order * SEGMENT).tolist()]))
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([x for _, x in out], pa.list_(pa.binary()))], names=["label", "chunks"])
 
 
@@ -163,10 +170,11 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS_PER_CLASS, label: str = "quality") -> Model:
-    """Fit on at most ``rows`` labelled documents of each class and ``CHUNKS_PER_ROW`` chunks of each.
+    """Fit on at most ``rows`` labelled documents of each class, on chunks of their whole texts.
 
     The classes weigh the same in the fit; the shift gives scores the share of class 1 among all
     labelled rows. With fewer than two classes the score is that share, 0.5 if nothing is labelled.
+    Null ids and labels teach nothing; an id with several labels counts as the largest.
     """
     pick, there = training_rows(labels, label, rows)
     n0, n1 = there.get(0, 0), there.get(1, 0)
@@ -174,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not (n0 and n1):
         return Model(None, shift)
     chosen = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")).join(pick, "__id").select(F.col("__y").alias("label"), "__t", F.xxhash64("__id").alias("__h"), "__id")
-    bags = chosen.mapInArrow(_sorted_bags, "h long, label int, chunks array<binary>").collect()  # bounded by rows and CHUNKS_PER_ROW
+    bags = chosen.mapInArrow(_sorted_bags, "h long, label int, chunks array<binary>").collect()  # at most 2 rows * 96 chunks of 263 bytes: 101 MB
     bags = sorted(((r.h, [bytes(c) for c in r.chunks], r.label) for r in bags), key=lambda r: (r[0], r[1]))
     if len({y for *_, y in bags}) < 2:
         return Model(None, shift)
@@ -207,7 +215,11 @@ def _scores(model: Model, keep: float | None):
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """One row a document: doc_id, held_out, score, predicted. Null and empty texts are scored as no bytes."""
+    """One row a document: doc_id, held_out, score, predicted.
+
+    Null and empty texts are scored as no bytes; repeated rows are scored alike; a null id stays null
+    and so is its held_out; an empty table gives no row, and other columns are not read.
+    """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
     out = src.mapInArrow(_scores(model, None), "doc_id long, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
