@@ -147,14 +147,44 @@ def test_greedy_fill():
         split.check_ratios((0.5, 0.6, 0.1))
 
 
-def test_split_beyond_the_driver_part(spark):
+def test_split_of_many_equal_components(spark):
     comp = spark.createDataFrame([(i, i // 3) for i in range(3000)], "id long, component long")
-    s = split.leakage_safe_split(comp, big=50)
+    s = split.leakage_safe_split(comp)
     assert s.count() == 1000 and s.select("component").distinct().count() == 1000
     rows = {r["split"]: r["sum(size)"] for r in s.groupBy("split").sum("size").collect()}
     assert abs(rows["train"] - 2550) <= 6 and abs(rows["validation"] - 300) <= 6 and abs(rows["test"] - 150) <= 6
 
 
+def test_fill_by_size_deals_as_one_by_one_does():
+    g = random.Random(4)
+    for ratios in [(0.85, 0.1, 0.05), (0.5, 0.25, 0.25), (0.2, 0.3, 0.5), (1, 0, 0), (0, 0.5, 0.5), (0.98, 0.01, 0.01)]:
+        for _ in range(60):
+            sizes = sorted((g.choice([1, 1, 1, 2, 3, 8, 40]) for _ in range(g.choice([0, 1, 2, 3, 4, 5, 30, 200]))), reverse=True)
+            runs = [(n, sizes.count(n)) for n in sorted(set(sizes), reverse=True)]
+            dealt = []
+            plan = split.fill_by_size(runs, ratios)
+            for n, k in runs:
+                turns = [(at, turn) for m, at, turn in plan if m == n]
+                for place in range(k):
+                    at, turn = [t for t in turns if t[0] <= place][-1]
+                    dealt.append(turn[(place - at) % len(turn)])
+            assert dealt == split.fill_greedily(list(enumerate(sizes)), ratios, sum(sizes)), (sizes, ratios)
+
+
+def test_split_of_no_rows(spark):
+    assert split.leakage_safe_split(spark.createDataFrame([], "id long, component long")).count() == 0
+
+
+def test_owners_and_ids_may_be_null(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("a", 2, 3), (None, 4, 7), (None, None, 2)], "owner string, id long, n int")
+    got = sorted((r.owner or "", r.id or 0, r.offset) for r in curriculum.token_offsets(df, "owner", "id", "n").collect())
+    assert [g[:2] for g in got] == [("", 0), ("", 4), ("a", 1), ("a", 2), ("a", 2)]
+    assert [g[2] for g in got[:3]] == [0, 2, 0] and got[3][2] == 5 and got[4][2] in (5, 8)
+    some = curriculum.sample_per_owner(df, "owner", "id", F.least(F.col("available") - 1, F.lit(2)))
+    assert {(r.owner, r["count"]) for r in some.groupBy("owner").count().collect()} == {("a", 2), (None, 1)}
+    assert {r.pool for r in curriculum.length_batches(df, "owner", "id", "n").collect()} == {0}
+
+
 def test_annotations_must_be_used(spark):
     r, n = spark.createDataFrame([(1,), (2,)], "k long"), spark.createDataFrame([(2, "x"), (3, "y")], "k long, note string")
     merged = annotate.annotation_merge(r, n, "k")

@@ -6,19 +6,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.hashing import seeded_order
+from weftline.plans.shared import join_checked, materialize, ranged_total, running_total
+
+
+def _seeded(df: DataFrame, owner: str, id_col: str, seed: int) -> DataFrame:
+    """``df`` with ``__owner`` and ``__before``, the owner's rows ahead in a seeded order; the order's first digits are the cells, so no task holds an owner."""
+    key = seeded_order(seed, F.col(id_col))
+    cell = F.coalesce(F.conv(F.substring(key, 1, 4), 16, 10).cast("int"), F.lit(-1))
+    return running_total(df.withColumn("__owner", F.struct(owner)), "__owner", cell, [key, F.col(id_col)], F.lit(1), "__before")
 
 
 def sample_per_owner(df: DataFrame, owner: str, id_col: str, count: Column, seed: int = 42) -> DataFrame:
-    """The first ``count`` rows of each owner in a seeded order; ``count`` may use ``available``, the owner's rows."""
-    w = Window.partitionBy(owner).orderBy(seeded_order(seed, F.col(id_col)), id_col)
-    out = df.withColumn("available", F.count("*").over(Window.partitionBy(owner))).withColumn("__n", F.row_number().over(w))
-    return out.where(F.col("__n") <= count).drop("__n")
+    """The first ``count`` rows of each owner in a seeded order; ``count`` may use ``available``, the owner's rows. Null is an owner."""
+    sizes = materialize(df.groupBy(F.struct(owner).alias("__o")).agg(F.count("*").alias("available")), "owners")
+    out = join_checked(_seeded(df, owner, id_col, seed), sizes, F.col("__owner") == F.col("__o"), "inner")
+    return out.where(F.col("__before") < count).drop("__owner", "__o", "__before")
 
 
 def length_batches(df: DataFrame, owner: str, id_col: str, length: str, batch: int = 8, pool_batches: int = 16, seed: int = 42) -> DataFrame:
     """``df`` with ``pool`` and ``batch``: rows of an owner in a seeded order, pools of 16 batches, sorted by length within each."""
-    w = Window.partitionBy(owner).orderBy(seeded_order(seed, F.col(id_col)), id_col)
-    out = df.withColumn("pool", F.floor((F.row_number().over(w) - 1) / (batch * pool_batches)))
+    out = _seeded(df, owner, id_col, seed)
+    out = out.withColumn("pool", F.floor(F.col("__before") / (batch * pool_batches))).drop("__owner", "__before")
     v = Window.partitionBy(owner, "pool").orderBy(length, id_col)
     return out.withColumn("batch", F.floor((F.row_number().over(v) - 1) / batch))
 
@@ -44,9 +52,8 @@ def micro_batches(df: DataFrame, owner: str, id_col: str, length: str, most: int
 
 
 def token_offsets(df: DataFrame, owner: str, id_col: str, size: str) -> DataFrame:
-    """``df`` with ``offset``: the tokens before each row in its owner's flat store."""
-    w = Window.partitionBy(owner).orderBy(id_col).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("offset", F.coalesce(F.sum(size).over(w), F.lit(0)).cast("long"))
+    """``df`` with ``offset``: the tokens before each row in its owner's flat store; a null size counts as none."""
+    return ranged_total(df, owner, [id_col], F.coalesce(F.col(size), F.lit(0)), "offset")
 
 
 def pad(ids: Column, width: Column, fill: int = 0) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.hashing import seeded_order
 from weftline.operators.graph import connected_components
-from weftline.plans.shared import materialize, running_total
+from weftline.plans.shared import join_checked, materialize, running_total
 
 SPLITS = ("train", "validation", "test")
 
@@ -54,32 +56,59 @@ def fill_greedily(sizes: list[tuple], ratios: tuple[float, float, float], total:
     return out
 
 
-def leakage_safe_split(components: DataFrame, ratios: tuple[float, float, float] = (0.85, 0.1, 0.05), seed: int = 42, big: int = 10_000) -> DataFrame:
+def fill_by_size(histogram: list[tuple[int, int]], ratios: tuple[float, float, float]) -> list[tuple[int, int, list[int]]]:
+    """The deal of ``fill_greedily`` for (size, components) runs, largest first, as (size, first place in the run, splits in turn).
+
+    Within a run every deal lowers a deficit by the same size, so splits take turns: those within one
+    size of the largest deficit, in a fixed order, until a further one comes within reach. That is three
+    entries a run at most. Only the last three components of all can be due to unserved splits.
+    """
+    total, left = sum(n * k for n, k in histogram), sum(k for _, k in histogram)
+    missing = {s: Fraction(total * ratios[s]) for s in range(3) if ratios[s] > 0}
+    unserved = list(missing)
+    plan = []
+    for n, k in histogram:
+        at = 0
+        while at < k:
+            lead = max(missing, key=missing.get)
+            if left <= 3:
+                turn, dealt = [unserved[0] if left <= len(unserved) else lead], 1
+            else:
+                reach = (missing[lead] - n, -lead)
+                turn = sorted((s for s in missing if (missing[s], -s) > reach), key=lambda s: (-missing[s], s))
+                dealt = min(k - at, left - 3)
+                for s in set(missing) - set(turn):
+                    rounds, over = divmod(missing[lead] - missing[s], n)
+                    dealt = min(dealt, len(turn) * (rounds - (over == 0 and s < lead)))
+            plan.append((n, at, turn))
+            for i, s in enumerate(turn):
+                missing[s] -= n * len(range(i, dealt, len(turn)))
+            unserved = [s for s in unserved if s not in turn[:dealt]]
+            at, left = at + dealt, left - dealt
+    return plan
+
+
+def leakage_safe_split(components: DataFrame, ratios: tuple[float, float, float] = (0.85, 0.1, 0.05), seed: int = 42) -> DataFrame:
     """(component, size, split) from (id, component); no component is parted.
 
     Components go largest first, ties in a seeded order, each to the split with the largest deficit.
-    Only the ``big`` largest are dealt one by one on the driver. The rest, none larger than those, go by
-    the position of their rows on the line of all remaining rows, cut at the remaining deficits; that
-    position is summed over cells of the seeded order, so no task holds them all.
+    The driver plans the deal from the histogram of sizes, which has fewer entries than the square root
+    of twice the rows; a component finds its turn by its place among those of its size.
     """
     check_ratios(ratios)
     sizes = materialize(components.groupBy("component").agg(F.count("*").alias("size")), "sizes")
-    order = [F.desc("size"), seeded_order(seed, F.col("component")), F.col("component")]
-    total, count = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    head = [(r["component"], r["size"]) for r in sizes.orderBy(*order).limit(big).collect()]  # at most ``big`` rows
-    dealt = fill_greedily(head, ratios, total)
-    spark = components.sparkSession
-    kind = sizes.schema["component"].dataType.simpleString()
-    top = spark.createDataFrame([(c, SPLITS[d]) for (c, _), d in zip(head, dealt, strict=True)], f"component {kind}, split string")
-    if count <= big:
-        return sizes.join(F.broadcast(top), "component").select("component", "size", "split")
-    filled = [sum(n for (_, n), d in zip(head, dealt, strict=True) if d == k) for k in range(3)]
-    short = [max(0.0, total * r - f) for r, f in zip(ratios, filled, strict=True)]
-    rest = sizes.join(F.broadcast(top.select("component")), "component", "left_anti")
-    rest = rest.withColumn("one", F.lit(1))
-    rest = running_total(rest, "one", F.conv(F.substring(seeded_order(seed, F.col("component")), 1, 3), 16, 10).cast("int"), [seeded_order(seed, F.col("component"))], F.col("size"), "before")
-    at = F.when(F.col("before") < short[0], SPLITS[0]).when(F.col("before") < short[0] + short[1], SPLITS[1]).otherwise(SPLITS[2])
-    return sizes.join(F.broadcast(top), "component").select("component", "size", "split").unionByName(rest.select("component", "size", at.alias("split")))
+    histogram = [(r["size"], r["count"]) for r in sizes.groupBy("size").count().orderBy(F.desc("size")).collect()]
+    turns: dict[int, list] = {}
+    for n, at, turn in fill_by_size(histogram, ratios):
+        turns.setdefault(n, []).append((at, [SPLITS[s] for s in turn]))
+    plan = components.sparkSession.createDataFrame(list(turns.items()), "__size long, __turns array<struct<at:long,splits:array<string>>>")
+    key = seeded_order(seed, F.col("component"))
+    cell = F.coalesce(F.conv(F.substring(key, 1, 4), 16, 10).cast("int"), F.lit(-1))
+    placed = running_total(sizes, "size", cell, [key, F.col("component")], F.lit(1), "__place")
+    placed = join_checked(placed, plan, F.col("size") == F.col("__size"), "inner")
+    turn = F.element_at(F.filter("__turns", lambda t: t["at"] <= F.col("__place")), -1)
+    split = F.element_at(turn["splits"], ((F.col("__place") - turn["at"]) % F.size(turn["splits"]) + 1).cast("int"))
+    return placed.select("component", "size", split.alias("split"))
 
 
 def extend_split(components: DataFrame, prior: DataFrame) -> DataFrame:

@@ -74,6 +74,13 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, rows: int = BR
     return left.join(right, on, how)
 
 
+def ranged_total(df: DataFrame, group: str, order: list[str], weight, name: str) -> DataFrame:
+    """``running_total`` in the order of columns: ranges of (group, order) are the cells, even whatever the values are. Nulls are a group."""
+    rows = df.withColumn("__group", F.struct(group)).repartitionByRange(group, *order)
+    rows = materialize(rows.withColumn("__range", F.spark_partition_id()), "ranges")
+    return running_total(rows, "__group", F.col("__range"), order, weight, name).drop("__group", "__range")
+
+
 def running_total(df: DataFrame, group: str, bucket, order: list, weight, name: str) -> DataFrame:
     """Running sum of ``weight`` before each row of a group, over (bucket, order); no task holds a whole group."""
     df = df.withColumn("__b", bucket)
