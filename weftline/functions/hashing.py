@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,3 +39,9 @@ def record_key(*parts: Column) -> Column:
 def fingerprint(prompt_tokens: Column, ids: Column) -> Column:
     """SHA-256 of a token sequence and the length of its prompt."""
     return F.sha2(F.concat(F.lit("["), prompt_tokens.cast("string"), F.lit(",["), F.array_join(F.transform(ids, lambda x: x.cast("string")), ","), F.lit("]]")), 256)
+
+
+def settings_signature(settings: dict, resources: set[str], files: dict[str, str], moves: list) -> str:
+    """SHA-256 of a run's settings without those that only name resources, the hashes of its split files and its moved rows."""
+    kept = {k: v for k, v in settings.items() if k not in resources}
+    return hashlib.sha256(json.dumps([kept, files, moves], sort_keys=True).encode()).hexdigest()

@@ -726,3 +726,4 @@ def events_session(spark, d):
 
 
 from weftline.plans import records as _records  # noqa: E402, F401  (registers its queries)
+from weftline.plans import vocabulary as _vocabulary  # noqa: E402, F401  (registers its queries)
