@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crosspolytope, exact_dedup, lines, minhash, mixing, packing, pseudolik, quality, toxicity, warc
+from . import crosspolytope, exact_dedup, lines, minhash, mixing, packing, pseudolik, quality, resampling, tokenfiles, toxicity, warc, whitening
 
 #: Parameter: the vocabulary file; it is read where a task runs.
 TOKENIZER = "byte_bpe_50k.json"
@@ -66,6 +66,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.encoded_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -104,4 +116,23 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+        "op12_resampling": """
+            WITH crc AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+            texts AS (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+            w AS (SELECT side, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM texts),
+            e AS (SELECT side, id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS f FROM w),
+            n AS (SELECT side, id, f, count(*) AS n FROM e GROUP BY ALL),
+            d AS (SELECT f, hex(encode(f)) AS x FROM n GROUP BY f),
+            b AS (SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(x), 2), lambda i: ('0x' || x[i:i + 1])::BIGINT)),
+                                            lambda c, y: xor(c >> 8, t[xor(c & 255, y) + 1])), 4294967295::BIGINT) % 10000 AS bucket FROM d, crc),
+            k AS (SELECT bucket, sum(CASE WHEN side = 0 THEN n ELSE 0 END) AS s, sum(CASE WHEN side = 1 THEN n ELSE 0 END) AS t FROM n JOIN b USING (f) GROUP BY bucket),
+            a AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM k),
+            g AS (SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(all_s + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(all_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM k, a),
+            m AS (SELECT id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS total FROM n JOIN b USING (f) JOIN g USING (bucket) WHERE side = 0 GROUP BY id),
+            p AS (SELECT w.id AS doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features,
+                         coalesce(total // n_features - CASE WHEN total % n_features < 0 THEN 1 ELSE 0 END, 0) AS weight,
+                         ('0x' || sha256('7:' || w.id)[1:8])::BIGINT AS h FROM w LEFT JOIN m ON m.id = w.id WHERE side = 0),
+            q AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM p),
+            r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM q WHERE n_words >= 20)
+            SELECT q.doc_id, q.n_features, q.weight, q.score, CASE WHEN r.rank <= r.n * 25 // 100 THEN r.rank END AS rank FROM q LEFT JOIN r ON r.doc_id = q.doc_id""",
     }
