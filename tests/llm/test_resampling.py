@@ -82,7 +82,7 @@ def test_clashing_names_and_draw(spark):
 @pytest.mark.parametrize("parts", [1, 3, 40])
 def test_dictionary_has_each_string_once(spark, parts, monkeypatch):
     """Whatever the number of ranges, flushes and lines, and with one first word in most pairs."""
-    monkeypatch.setattr(resampling, "FOLLOWERS", 7)
+    monkeypatch.setattr(resampling, "LINE", 7)
     rng = random.Random(parts)
     texts = [" ".join(["hot", f"v{rng.randrange(500)}"] * 40) for _ in range(60)]
     table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
@@ -98,12 +98,12 @@ def test_counting_in_several_flushes(monkeypatch):
     monkeypatch.setattr(resampling, "STEP", 100)
     rng = random.Random(9)
     texts = [words_of(rng, 30, [f"w{i}" for i in range(40)]) for _ in range(30)]
-    sent = [b.to_pydict() for b in resampling._counted(["w2", "w2 w15", "w2 w30", "w7"])([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])]
+    sent = [b.to_pydict() for b in resampling._counted([b"w2", b"w2 w15", b"w2 w30", b"w7"])([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])]
     got = Counter()
     for b in sent:
-        for first, line in zip(b["first"], b["line"]):
-            for f in line.split(" "):
+        for line in b["line"]:
+            for f in line.split("\n"):
                 w, _, n = f.partition(":")
-                got[f"{first} {w}".strip()] += int(n or 1)
+                got[w] += int(n or 1)
     assert len(sent) > 1
     assert got == Counter(f for x in texts for w in [x.split()] for f in [*w, *map(" ".join, zip(w, w[1:]))])

@@ -1,22 +1,19 @@
 """Importance resampling of documents towards a target distribution, over hashed n-grams.
 
-A dictionary of distinct features is built first. Tasks count words and pairs of words and send, for
-each first word, one line of its followers with their counts; ranges of features, balanced by a small
-sample, say where a line goes, so that a frequent first word is spread by its followers. There equal
-strings are added up, each distinct string is hashed once, and buckets are summed: a table of fixed
-size. Its gains then meet the features of each document, where a task keeps the gain of every string
-that it has met.
+A dictionary of distinct features is built first. Tasks count words and pairs of words and send them
+sorted, many to a line, by ranges of features that a small sample balances. There equal strings are
+added up, each distinct string is hashed once, and buckets are summed: a table of fixed size. Its gains
+then meet the features of each document, where a task keeps the gain of every string that it has met.
 """
 
 from __future__ import annotations
 
 import math
-import re
-import sys
 import zlib
-from bisect import bisect_left, bisect_right
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +24,11 @@ from weftline.plans.shared import materialize, ranged_total
 
 from .textkernel import STEP, steps
 
-#: A word, and the letters whose case goes.
-WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-LOWER = {c: c + 32 for c in range(65, 91)}
-#: Pairs that a task counts before it sends them, strings whose gain it remembers, and followers of one line.
-HELD, MEMO, FOLLOWERS = 1_200_000, 1_000_000, 4096
-#: Rows, features a row and characters a feature of the sample that balances ranges of features. It decides where strings meet, never what is counted.
+#: What a byte becomes. Words are of digits, letters and all that is not ASCII; A-Z become lower case, every other byte a space.
+BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+#: Features that a task counts before it sends them, strings whose gain it remembers, and features of one line.
+HELD, MEMO, LINE = 1_500_000, 1_000_000, 1024
+#: Rows, features a row and bytes a feature of the sample that balances ranges of features. It decides where strings meet, never what is counted.
 SAMPLE_ROWS, SAMPLE_FEATURES, CUT = 2000, 64, 64
 
 
@@ -46,67 +42,48 @@ class Resampling:
     percent: int = 25
 
 
-def words(text: str) -> list[str]:
-    return WORD.findall(text.translate(LOWER))
+def words(text: bytes) -> list[bytes]:
+    return text.translate(BYTES).split()
 
 
-def _texts(batch):
-    """Lists of texts, each of about STEP bytes; a null is an empty text."""
-    texts = batch.fill_null("")
+def _texts(column):
+    """Lists of texts in UTF-8, each list of about STEP bytes; a null is an empty text."""
+    texts = column.fill_null("").cast(pa.binary())
     sizes = np.zeros(len(texts) + 1, np.int64)
     np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False), out=sizes[1:])
     for a, b in steps(sizes, STEP):
         yield a, b, texts.slice(a, b - a).to_pylist()
 
 
-def _lines(first: str, followers: dict[str, int], cuts: list[str]):
-    """(part, first, line) of a first word; the empty follower stands for the word alone, and a count of 1 is not written."""
-    lo, hi = bisect_right(cuts, first), bisect_left(cuts, first + "!")  # no word has a character as low as "!", all its pairs lie between
-    by_part: dict[int, list[str]] = {}
-    if lo == hi:
-        by_part[lo] = [w if n == 1 else f"{w}:{n}" for w, n in followers.items()]
-    else:
-        for w, n in followers.items():
-            by_part.setdefault(bisect_right(cuts, f"{first} {w}" if w else first, lo, hi), []).append(w if n == 1 else f"{w}:{n}")
-    for part, found in by_part.items():
-        for a in range(0, len(found), FOLLOWERS):
-            yield part, first, " ".join(found[a : a + FOLLOWERS])
-
-
-def _counted(cuts: list[str]):
-    def sent(table):
-        part, first, line = [], [], []
-        for word in sorted(table):
-            for p, w, t in _lines(word, table[word], cuts):
-                part.append(p)
-                first.append(w)
-                line.append(t)
-            if len(part) >= 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(first), pa.array(line)], names=["part", "first", "line"])
-                part, first, line = [], [], []
-        if part:
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(first), pa.array(line)], names=["part", "first", "line"])
+def _lines(counts: dict[bytes, int], cuts: list[bytes]):
+    """(part, line of features in order); a feature is followed by its count unless that is 1."""
+    order = sorted(counts)
+    ends = [0, *(bisect_left(order, c) for c in cuts), len(order)]
+    marked = [f if (n := counts[f]) == 1 else b"%b:%d" % (f, n) for f in order]
+    for part, (a, b) in enumerate(zip(ends, ends[1:])):
+        for i in range(a, b, LINE):
+            yield part, b"\n".join(marked[i : min(b, i + LINE)])
+
+
+def _counted(cuts: list[bytes]):
+    def sent(counts):
+        rows = _lines(counts, cuts)
+        while some := list(islice(rows, 64)):
+            part, line = zip(*some, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(line).cast(pa.string())], names=["part", "line"])
 
     def run(batches):
-        fresh = lambda: defaultdict(lambda: defaultdict(int))
-        table, met = fresh(), 0
+        counts = Counter()
         for batch in batches:
             for _, _, texts in _texts(batch.column(0)):
                 for text in texts:
-                    found = list(map(sys.intern, words(text)))
-                    for a, b in zip(found, found[1:]):
-                        followers = table[a]
-                        followers[""] += 1
-                        followers[b] += 1
-                    for a in found[-1:]:
-                        table[a][""] += 1
-                    met += 2 * len(found)
-                if met > HELD:  # an upper bound of what is held; the true number is counted only then
-                    met = sum(map(len, table.values()))
-                    if met > HELD:
-                        yield from sent(table)
-                        table, met = fresh(), 0
-        yield from sent(table)
+                    found = words(text)
+                    counts.update(found)
+                    counts.update(map(b" ".join, zip(found, found[1:])))
+                if len(counts) > HELD:
+                    yield from sent(counts)
+                    counts = Counter()
+        yield from sent(counts)
 
     return run
 
@@ -114,36 +91,35 @@ def _counted(cuts: list[str]):
 def _sampled(batches):
     for batch in batches:
         out = []
-        for text in batch.column(0).fill_null("").to_pylist():
+        for text in batch.column(0).fill_null("").cast(pa.binary()).to_pylist():
             found = words(text)
-            pairs = sorted({*found, *map(" ".join, zip(found, found[1:]))})
+            pairs = sorted({*found, *map(b" ".join, zip(found, found[1:]))})
             out += [f[:CUT] for f in pairs[:: -(-len(pairs) // SAMPLE_FEATURES)]] if pairs else []
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["feature"])
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["feature"])
 
 
-def feature_cuts(texts: DataFrame, parts: int) -> list[str]:
+def feature_cuts(texts: DataFrame, parts: int) -> list[bytes]:
     """Features at which the dictionary is cut into ``parts`` ranges of about equal size, from a sample of bounded size."""
     rows = texts.count()
     if not rows or parts < 2:
         return []
     some = texts.sample(min(1.0, SAMPLE_ROWS / rows), seed=1)
-    found = sorted(r["feature"] for r in some.mapInArrow(_sampled, "feature string").collect())
+    found = sorted(bytes(r["feature"]) for r in some.mapInArrow(_sampled, "feature binary").collect())
     return sorted({found[k * len(found) // parts] for k in range(1, parts)}) if found else []
 
 
 def distinct_features(sides: dict[str, DataFrame], parts: int) -> DataFrame:
     """The dictionary: feature and how often each side (name -> texts) has it, one row a distinct string."""
     cuts = feature_cuts(next(iter(sides.values())), parts)
-    tables = [t.mapInArrow(_counted(cuts), "part int, first string, line string").withColumn("side", F.lit(k)) for k, t in enumerate(sides.values())]
+    tables = [t.mapInArrow(_counted(cuts), "part int, line string").withColumn("side", F.lit(k)) for k, t in enumerate(sides.values())]
     lines = tables[0]
     for t in tables[1:]:
         lines = lines.unionByName(t)
-    each = lines.repartitionById(len(cuts) + 1, "part").select("part", "first", "side", F.explode(F.split("line", " ")).alias("f"))
-    count = F.when(F.col("f").contains(":"), F.substring_index("f", ":", -1).cast("long")).otherwise(1)
-    each = each.select("part", "first", F.substring_index("f", ":", 1).alias("next"), "side", count.alias("n"))
-    # Rows of a range are together already: no further exchange for (part, first, next).
+    each = lines.repartitionById(len(cuts) + 1, "part").select("part", "side", F.explode(F.split("line", "\n")).alias("f"))
+    each = each.where("f != ''").select("part", "side", F.substring_index("f", ":", 1).alias("feature"), F.when(F.col("f").contains(":"), F.substring_index("f", ":", -1).cast("long")).otherwise(1).alias("n"))
+    # Rows of a range are together already: no further exchange for (part, feature).
     sums = [F.sum(F.when(F.col("side") == k, F.col("n")).otherwise(0)).alias(name) for k, name in enumerate(sides)]
-    return each.groupBy("part", "first", "next").agg(*sums).select(F.when(F.col("next") == "", F.col("first")).otherwise(F.concat_ws(" ", "first", "next")).alias("feature"), *sides)
+    return each.groupBy("part", "feature").agg(*sums).drop("part")
 
 
 def bucket_gains(docs: DataFrame, target: DataFrame, text_col: str, how: Resampling, parts: int | None = None) -> list[int]:
@@ -166,8 +142,8 @@ class Gains(dict):
         super().__init__()
         self.gains = gains
 
-    def __missing__(self, feature: str) -> int:
-        out = self[feature] = self.gains[zlib.crc32(feature.encode()) % len(self.gains)]
+    def __missing__(self, feature: bytes) -> int:
+        out = self[feature] = self.gains[zlib.crc32(feature) % len(self.gains)]
         return out
 
 
@@ -181,7 +157,7 @@ def _weighed(gains: list[int]):
                 for text in texts:
                     found = words(text)
                     n = max(2 * len(found) - 1, 0)
-                    total = sum(map(gain, found)) + sum(map(gain, map(" ".join, zip(found, found[1:]))))
+                    total = sum(map(gain, found)) + sum(map(gain, map(b" ".join, zip(found, found[1:]))))
                     n_words.append(len(found))
                     n_features.append(n)
                     weight.append(total // n if n else 0)
