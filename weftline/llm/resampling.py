@@ -13,7 +13,7 @@ import zlib
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -56,21 +56,22 @@ def _texts(column):
 
 
 def _lines(counts: dict[bytes, int], cuts: list[bytes]):
-    """(part, line of features in order); a feature is followed by its count unless that is 1."""
-    order = sorted(counts)
-    ends = [0, *(bisect_left(order, c) for c in cuts), len(order)]
-    marked = [f if (n := counts[f]) == 1 else b"%b:%d" % (f, n) for f in order]
-    for part, (a, b) in enumerate(zip(ends, ends[1:])):
-        for i in range(a, b, LINE):
-            yield part, b"\n".join(marked[i : min(b, i + LINE)])
+    """(part, once, line of features in order): those that were met once as they are, the others with their counts."""
+    several = sorted([f for f, n in counts.items() if n > 1])
+    for once, order in ((True, sorted([f for f, n in counts.items() if n == 1])), (False, several)):
+        ends = [0, *(bisect_left(order, c) for c in cuts), len(order)]
+        for part, (a, b) in enumerate(zip(ends, ends[1:])):
+            for i in range(a, b, LINE):
+                some = order[i : min(b, i + LINE)]
+                yield part, once, b"\n".join(some if once else [b"%b:%d" % (f, counts[f]) for f in some])
 
 
 def _counted(cuts: list[bytes]):
     def sent(counts):
         rows = _lines(counts, cuts)
         while some := list(islice(rows, 64)):
-            part, line = zip(*some, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(line).cast(pa.string())], names=["part", "line"])
+            part, once, line = zip(*some, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(once), pa.array(line).cast(pa.string())], names=["part", "once", "line"])
 
     def run(batches):
         counts = Counter()
@@ -79,7 +80,7 @@ def _counted(cuts: list[bytes]):
                 for text in texts:
                     found = words(text)
                     counts.update(found)
-                    counts.update(map(b" ".join, zip(found, found[1:])))
+                    counts.update(map(b" ".join, pairwise(found)))
                 if len(counts) > HELD:
                     yield from sent(counts)
                     counts = Counter()
@@ -93,7 +94,7 @@ def _sampled(batches):
         out = []
         for text in batch.column(0).fill_null("").cast(pa.binary()).to_pylist():
             found = words(text)
-            pairs = sorted({*found, *map(b" ".join, zip(found, found[1:]))})
+            pairs = sorted({*found, *map(b" ".join, pairwise(found))})
             out += [f[:CUT] for f in pairs[:: -(-len(pairs) // SAMPLE_FEATURES)]] if pairs else []
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["feature"])
 
@@ -111,12 +112,13 @@ def feature_cuts(texts: DataFrame, parts: int) -> list[bytes]:
 def distinct_features(sides: dict[str, DataFrame], parts: int) -> DataFrame:
     """The dictionary: feature and how often each side (name -> texts) has it, one row a distinct string."""
     cuts = feature_cuts(next(iter(sides.values())), parts)
-    tables = [t.mapInArrow(_counted(cuts), "part int, line string").withColumn("side", F.lit(k)) for k, t in enumerate(sides.values())]
+    tables = [t.mapInArrow(_counted(cuts), "part int, once boolean, line string").withColumn("side", F.lit(k)) for k, t in enumerate(sides.values())]
     lines = tables[0]
     for t in tables[1:]:
         lines = lines.unionByName(t)
-    each = lines.repartitionById(len(cuts) + 1, "part").select("part", "side", F.explode(F.split("line", "\n")).alias("f"))
-    each = each.where("f != ''").select("part", "side", F.substring_index("f", ":", 1).alias("feature"), F.when(F.col("f").contains(":"), F.substring_index("f", ":", -1).cast("long")).otherwise(1).alias("n"))
+    each = lines.repartitionById(len(cuts) + 1, "part").select("part", "side", "once", F.explode(F.split("line", "\n")).alias("f"))
+    feature = F.when(F.col("once"), F.col("f")).otherwise(F.substring_index("f", ":", 1))
+    each = each.select("part", "side", feature.alias("feature"), F.when(F.col("once"), 1).otherwise(F.substring_index("f", ":", -1).cast("long")).alias("n"))
     # Rows of a range are together already: no further exchange for (part, feature).
     sums = [F.sum(F.when(F.col("side") == k, F.col("n")).otherwise(0)).alias(name) for k, name in enumerate(sides)]
     return each.groupBy("part", "feature").agg(*sums).drop("part")
@@ -157,7 +159,7 @@ def _weighed(gains: list[int]):
                 for text in texts:
                     found = words(text)
                     n = max(2 * len(found) - 1, 0)
-                    total = sum(map(gain, found)) + sum(map(gain, map(b" ".join, zip(found, found[1:]))))
+                    total = sum(map(gain, found)) + sum(map(gain, map(b" ".join, pairwise(found))))
                     n_words.append(len(found))
                     n_features.append(n)
                     weight.append(total // n if n else 0)
