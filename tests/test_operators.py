@@ -101,6 +101,8 @@ def test_common_runs(spark):
 
 
 def test_micro_batches(spark):
+    from weftline.operators import batches
+
     rng = random.Random(1)
     widths = [rng.randrange(1, 60) for _ in range(80)]
     df = spark.createDataFrame([("o", i, w) for i, w in enumerate(widths)], "owner string, id long, w long")
@@ -111,7 +113,7 @@ def test_micro_batches(spark):
             n, wide = 0, 0
         n, wide = n + 1, max(wide, w)
     want.append((n, wide))
-    got = curriculum.micro_batches(df, "owner", "id", "w", 6, 150).orderBy("batch").collect()
+    got = batches.micro_batches(df, "owner", "id", "w", 6, 150).orderBy("batch").collect()
     assert [(r.n, r.width) for r in got] == want and all(r.n * r.width <= 150 or r.n == 1 for r in got)
 
 
@@ -269,27 +271,11 @@ def test_streams(spark, tmp_path):
     assert r.turns == 12 and r.history.count("\n") == 3
 
 
-def test_branches_rejoin_and_equal_states_are_one(spark):
-    from weftline.operators import sequence
-
-    S, C, P, N = sequence.SPEECH, sequence.CHOICE, sequence.PLAYER, sequence.NARRATION
-    rows = [(1, S, "hero", 0, "a"), (2, C, "", 1, "x"), (3, C, "", 1, "y"), (4, C, "", 2, "z"), (5, P, "me", 0, "skipped"), (6, S, "hero", 1, "b"), (7, N, "", 2, "n"), (8, S, "hero", 0, "c"), (9, C, "", 1, "end"), (10, S, "hero", 1, "d")]
-    lines = spark.createDataFrame([(g, *r) for g in (1, 2) for r in rows] + [(3, 1, S, "hero", 0, None), (4, 1, N, "", 0, "alone")], "group_no long, idx int, kind string, speaker string, choice_group int, text string")
-    got = sorted((r.group_no, r.user_items, r.answer, r.previous or "") for r in sequence.branching_walk(lines, "hero").collect())
-    one = [("", "a", ""), ("end", "d", "b c"), ("end", "d", "c"), ("x y", "b c", "a"), ("z / n", "c", "a")]
-    assert got == sorted((g, *x) for g in (1, 2) for x in one)
-    each = sorted((r.user_items, r.answer) for r in sequence.branching_walk(lines.where("group_no = 1 and idx < 6"), "hero", by_group=False).collect())
-    assert each == [("", "a")]
-    each = {(r.user_items, r.answer) for r in sequence.branching_walk(lines.where("group_no = 1 and idx in (1, 2, 3, 8)"), "hero", by_group=False).collect()}
-    assert each == {("", "a"), ("x", "c"), ("y", "c")}
-    assert sequence.branching_walk(lines.limit(0), "hero").count() == 0
-
-
 def test_short_items_are_found(spark):
-    from weftline.operators import classify
+    from weftline.operators import containment
 
     docs = spark.createDataFrame([(1, "one two three"), (2, "solo"), (3, None), (4, "xsolox alpha beta gamma."), (5, "")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "one two"), (2, "solo"), (3, "alpha beta gamma"), (4, ""), (5, None), (6, "solo")], "item_id long, text string")
-    got = sorted((r.item_id, r.doc_id) for r in classify.containing(docs, items).collect())
+    got = sorted((r.item_id, r.doc_id) for r in containment.containing(docs, items).collect())
     assert got == [(1, 1), (2, 2), (2, 4), (3, 4), (6, 2), (6, 4)]
-    assert classify.containing(docs, items.limit(0)).count() == 0
+    assert containment.containing(docs, items.limit(0)).count() == 0

@@ -60,44 +60,3 @@ def gate(df: DataFrame, reason: Column, detail: str, keys: list[str]) -> tuple[D
     held = df.withColumn("__r", reason)
     out = held.where("__r is not null").select(*keys, F.col("__r").alias("reason"), F.lit(detail).alias("detail"), F.substring("text", 1, 80).alias("preview"))
     return held.where("__r is null").drop("__r"), out
-
-
-#: Characters of items that one pass over the documents looks for.
-ITEM_CHARS = 16_000_000
-
-
-def _found(items: list[tuple[int, str]]):
-    def run(batches):
-        import ahocorasick
-        import pyarrow as pa
-
-        words, ids = ahocorasick.Automaton(), {}
-        for i, text in items:
-            ids.setdefault(text, []).append(i)
-        for text in ids:
-            words.add_word(text, text)
-        words.make_automaton()
-        for batch in batches:
-            out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for hit in {t for _, t in words.iter(text)} if text else ():
-                    out += [(doc, i) for i in ids[hit]]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["doc_id", "item_id"])
-
-    return run
-
-
-def containing(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id): the documents (doc_id, text) whose text holds an item's (item_id, text) as it is.
-
-    One scan finds all items at once (an automaton over their texts), without a join; items of more than
-    ITEM_CHARS characters together are dealt by hash into as many scans. Null and empty items are in none.
-    """
-    some = items.where("text <> ''").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    total = some.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    parts, out = max(1, -(-int(total) // ITEM_CHARS)), None
-    for n in range(parts):
-        held = [tuple(r) for r in some.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == n).collect()]  # about ITEM_CHARS characters
-        hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_found(held), "doc_id long, item_id long") if held else None
-        out = hits if out is None else out if hits is None else out.unionByName(hits)
-    return out if out is not None else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("item_id")).limit(0)

@@ -1,4 +1,4 @@
-"""Selection and batching: samples, pools by length, greedy micro-batches, token offsets, padding."""
+"""Selection and batching: samples, pools by length, token offsets, padding; greedy micro-batches are in ``batches``."""
 
 from __future__ import annotations
 
@@ -31,26 +31,6 @@ def length_batches(df: DataFrame, owner: str, id_col: str, length: str, batch: i
     return out.withColumn("batch", F.floor((F.row_number().over(v) - 1) / batch))
 
 
-def micro_batches(df: DataFrame, owner: str, id_col: str, length: str, most: int, budget: int) -> DataFrame:
-    """One row a batch: (owner, batch, n, width). Rows in the order of id join a batch while it has under ``most`` rows and (n + 1) * widest <= budget.
-
-    A fold over each owner's array of lengths; the array holds two numbers a row.
-    """
-    rows = df.groupBy(owner).agg(F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("i"), F.col(length).cast("long").alias("w")))).alias("rows"))
-    kind = "struct<done:array<struct<n:bigint,width:bigint>>,n:bigint,width:bigint>"
-    start = F.struct(F.array().cast("array<struct<n:bigint,width:bigint>>").alias("done"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("width")).cast(kind)
-
-    def step(acc, r):
-        wide = F.greatest(acc["width"], r["w"])
-        close = (acc["n"] > 0) & ((acc["n"] == most) | ((acc["n"] + 1) * wide > budget))
-        done = F.when(close, F.concat(acc["done"], F.array(F.struct(acc["n"].alias("n"), acc["width"].alias("width"))))).otherwise(acc["done"])
-        return F.struct(done.alias("done"), F.when(close, F.lit(1).cast("long")).otherwise(acc["n"] + 1).alias("n"), F.when(close, r["w"]).otherwise(wide).alias("width")).cast(kind)
-
-    end = F.aggregate("rows", start, step, lambda a: F.concat(a["done"], F.array(F.struct(a["n"].alias("n"), a["width"].alias("width")))))
-    out = rows.select(owner, F.posexplode(end).alias("batch", "b"))
-    return out.select(owner, F.col("batch").cast("long").alias("batch"), "b.n", "b.width")
-
-
 def token_offsets(df: DataFrame, owner: str, id_col: str, size: str) -> DataFrame:
     """``df`` with ``offset``: the tokens before each row in its owner's flat store; a null size counts as none."""
     return ranged_total(df, owner, [id_col], F.coalesce(F.col(size), F.lit(0)), "offset")

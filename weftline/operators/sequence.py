@@ -8,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.plans.shared import materialize
-
 
 def _by(key: str):
     return Window.partitionBy(key)
@@ -110,64 +108,3 @@ def script_stages(lines: DataFrame, key: str = "group_no", by_group: bool = True
     before = F.lag("part").over(w)
     new = ((F.col("part") == "option") & ~before.eqNullSafe("option")) | ((F.col("part") == "plain") & ~before.eqNullSafe("plain"))
     return out.withColumn("stage", F.sum(F.when(new, 1).otherwise(0)).over(w)).drop("__run", "__block", "__after")
-
-
-def branching_walk(lines: DataFrame, own: str, key: str = "group_no", by_group: bool = True) -> DataFrame:
-    """Exchanges of a branching script, over every path through its choices.
-
-    ``lines``: group, idx, kind, speaker, choice_group, text. Consecutive lines of ``own`` are one answer;
-    other lines are context. A block of choices forks the walk into one branch an option, whose lines
-    are those after the block with the option's group; then the branches rejoin. With ``by_group`` the
-    choices of one group are one option; else each choice is, without lines of its own. Returns
-    (group, user_items, answer, previous) once each, user items joined by " / ". Lines without text
-    are left out.
-
-    The states before a stage are rows; each stage is a join with the ways through it, in which equal
-    states are one. There are as many joins as the longest script has stages.
-    """
-    kind = lines.schema[key].dataType.simpleString()
-    staged = materialize(script_stages(lines.where("text <> ''"), key, by_group), "stages")
-    speech = (F.col("kind") == SPEECH) & F.col("speaker").eqNullSafe(F.lit(own))
-    said = F.when(speech | (F.col("kind") == NARRATION), F.col("text")).otherwise(F.concat_ws(": ", "speaker", "text"))
-    line = F.struct("idx", speech.alias("own"), said.alias("text"))
-    way = F.col("choice_group") if by_group else F.when(F.col("part") == "option", F.col("idx")).otherwise(0)
-    forks = staged.where((F.col("part") == "option") & (F.col("kind") == CHOICE)).groupBy(key, "stage", way.alias("way")).agg(F.array_sort(F.collect_list(F.struct("idx", "text"))).alias("texts"))
-    forks = forks.select(key, "stage", "way", F.array_join(F.transform("texts", lambda x: x["text"]), " ").alias("option"))
-    rest = staged.where("part <> 'option'").groupBy(key, "stage", F.when(F.col("part") == "branch", way).otherwise(0).alias("way"), "part").agg(F.array_sort(F.collect_list(line)).alias("lines"))
-    ways = forks.join(rest.where("part = 'branch'").drop("part"), [key, "stage", "way"], "left").unionByName(rest.where("part = 'plain'").withColumn("option", F.lit(None).cast("string")).drop("part"))
-    first = F.when(F.col("option").isNotNull(), F.array(F.struct(F.lit(-1).alias("idx"), F.lit(False).alias("own"), F.col("option").alias("text"))))
-    some = F.filter(F.flatten(F.array(*[F.coalesce(F.transform(c, lambda x: F.struct(x["own"].alias("own"), x["text"].alias("text"))), F.array().cast("array<struct<own:boolean,text:string>>")) for c in (first, F.col("lines"))])), lambda x: x["text"].isNotNull())
-    ways = materialize(ways.select(key, "stage", some.alias("way")), "ways")
-
-    done = "array<struct<user_items:string,answer:string,previous:string>>"
-    state = f"struct<items:array<string>,said:array<string>,previous:string,done:{done}>"
-
-    def answered(a):
-        """The state with its answer, if it has one, as an exchange."""
-        text = F.array_join(a["said"], " ")
-        one = F.array(F.struct(F.array_join(a["items"], " / ").alias("user_items"), text.alias("answer"), a["previous"].alias("previous")))
-        none = F.array().cast("array<string>")
-        return F.when(F.size(a["said"]) > 0, F.struct(none.alias("items"), none.alias("said"), text.alias("previous"), F.concat(a["done"], one.cast(done)).alias("done")).cast(state)).otherwise(a)
-
-    def step(a, x):
-        b = answered(a)
-        context = F.struct(F.concat(b["items"], F.array(x["text"])).alias("items"), b["said"].alias("said"), b["previous"].alias("previous"), b["done"].alias("done")).cast(state)
-        speaks = F.struct(a["items"].alias("items"), F.concat(a["said"], F.array(x["text"])).alias("said"), a["previous"].alias("previous"), a["done"].alias("done")).cast(state)
-        return F.when(x["own"], speaks).otherwise(context)
-
-    empty = F.array().cast("array<string>")
-    start = F.struct(empty.alias("items"), empty.alias("said"), F.lit(None).cast("string").alias("previous"), F.array().cast(done).alias("done")).cast(state)
-    states = staged.select(key).distinct().select(key, start.alias("s"))
-    last = staged.agg(F.coalesce(F.max("stage"), F.lit(0))).first()[0]
-    found = []
-    for n in range(1, int(last) + 1):
-        fresh = F.struct(F.col("s.items"), F.col("s.said"), F.col("s.previous"), F.array().cast(done).alias("done")).cast(state)
-        after = states.join(ways.where(F.col("stage") == n).drop("stage"), key, "left").select(key, F.aggregate(F.coalesce("way", F.array().cast("array<struct<own:boolean,text:string>>")), fresh, step).alias("s"))
-        after = materialize(after.distinct(), "states")
-        found.append(after.select(key, F.explode("s.done").alias("d")))
-        states = after.select(key, F.struct(F.col("s.items"), F.col("s.said"), F.col("s.previous"), F.array().cast(done).alias("done")).cast(state).alias("s")).distinct()
-    found.append(states.select(key, F.explode(answered(F.col("s"))["done"]).alias("d")))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.select(F.col(key).cast(kind).alias(key), "d.user_items", "d.answer", "d.previous").distinct()

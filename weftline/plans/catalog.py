@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import hashing, text
-from weftline.operators import annotate, classify, curriculum, dedup, derive, evaluate, report, sequence, split
+from weftline.operators import annotate, batches, classify, containment, curriculum, dedup, derive, evaluate, report, sequence, split
 from weftline.plans.shared import materialize
 from weftline.sources.tables import table
 from weftline.streaming import events
@@ -139,10 +139,10 @@ def ordered_suffix_rules(spark, d):
     return docs.select("doc_id", text.first_match(s, [("noun", "tion$"), ("modifier", "(ly|ing)$"), ("past", "ed$")], "other").alias("label"))
 
 
-@query(r"""WITH w AS (SELECT unnest(string_split(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' ')) AS w FROM documents),
-    c AS (SELECT w, count(*) AS n FROM w WHERE w <> '' GROUP BY w)
-    SELECT a.w[:length(a.w) - 2] AS word, a.n AS suffixed, b.n AS bare FROM c a JOIN c b ON b.w = a.w[:length(a.w) - 2]
-    WHERE a.w LIKE '%ed' AND length(a.w) > 2 AND a.n >= 0.5 * b.n""")
+@query(r"""WITH w AS MATERIALIZED (SELECT unnest(string_split(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' ')) AS w FROM documents),
+    c AS MATERIALIZED (SELECT w, count(*) AS n FROM w WHERE w <> '' GROUP BY w),
+    a AS MATERIALIZED (SELECT substr(w, 1, length(w) - 2) AS word, n AS suffixed FROM c WHERE w LIKE '%ed' AND length(w) > 2)
+    SELECT a.word, a.suffixed, c.n AS bare FROM a JOIN c ON c.w = a.word WHERE a.suffixed >= 0.5 * c.n""")
 def suffix_share(spark, d):
     return report.suffix_share(table(spark, d, "documents", ["text"]), "text", "ed")
 
@@ -227,7 +227,7 @@ def exchange_records(spark, d):
 @query("SELECT b.item_id, count(*) AS n_docs, min(d.doc_id) AS first_doc FROM benchmark b JOIN documents d ON contains(d.text, b.text) WHERE b.text <> '' GROUP BY b.item_id")
 def target_leakage(spark, d):
     """Documents that hold a benchmark text whole, whatever its length; empty items are in none."""
-    leaks = classify.containing(table(spark, d, "documents", ["doc_id", "text"]), table(spark, d, "benchmark"))
+    leaks = containment.containing(table(spark, d, "documents", ["doc_id", "text"]), table(spark, d, "benchmark"))
     return leaks.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
@@ -474,15 +474,6 @@ def running_history(spark, d):
     return h.select("conv_id", "exchange", F.size("earlier").cast("long").alias("n_earlier"), F.aggregate("earlier", F.lit(0).cast("long"), lambda a, m: a + F.length(m["answer"])).alias("answer_chars"))
 
 
-@query("""SELECT CAST(7 AS BIGINT) AS group_no, * FROM (VALUES ('rain', 'hello', NULL), ('stay', 'good later', 'hello'), ('go', 'bye', 'hello'), ('elf: wait', 'later', 'bye')) t(user_items, answer, previous)""")
-def branching_walk(spark, d):
-    """A literal script with a choice of two options whose branches rejoin."""
-    S, C, N = sequence.SPEECH, sequence.CHOICE, sequence.NARRATION
-    rows = [(1, N, "", 0, "rain"), (2, S, "hero", 0, "hello"), (3, C, "", 1, "stay"), (4, C, "", 2, "go"), (5, S, "hero", 1, "good"), (6, S, "hero", 2, "bye"), (7, S, "elf", 2, "wait"), (8, S, "hero", 0, "later")]
-    lines = spark.createDataFrame([(7, *r) for r in rows], "group_no long, idx int, kind string, speaker string, choice_group int, text string")
-    return sequence.branching_walk(lines, "hero")
-
-
 # -- duplicates, samples, batches ---------------------------------------------------------------
 
 
@@ -543,7 +534,7 @@ def length_batches(spark, d):
     SELECT lang, CAST(batch AS BIGINT) AS batch, CAST(max(n) AS BIGINT) AS n, max(width) AS width FROM f GROUP BY lang, batch""")
 def micro_batches(spark, d):
     docs = table(spark, d, "documents", ["doc_id", "lang", "text"]).select("doc_id", "lang", F.length("text").alias("w"))
-    return curriculum.micro_batches(docs, "lang", "doc_id", "w", 8, 20000)
+    return batches.micro_batches(docs, "lang", "doc_id", "w", 8, 20000)
 
 
 @query("""SELECT source, doc_id, CAST(coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM documents""")
@@ -726,4 +717,5 @@ def events_session(spark, d):
 
 
 from weftline.plans import records as _records  # noqa: E402, F401  (registers its queries)
+from weftline.plans import scripts as _scripts  # noqa: E402, F401  (registers its queries)
 from weftline.plans import vocabulary as _vocabulary  # noqa: E402, F401  (registers its queries)
