@@ -57,3 +57,44 @@ def localized(df: DataFrame, labels: DataFrame, pool: DataFrame, table: Column,
     p = pool.select(F.col("pool_id").alias("__i"), F.col("payload").alias("localized"))
     out = df.join(l, (table == F.col("__t")) & (F.nullif(sno, F.lit(0)) == F.col("__s")), "left").join(p, F.col("__p") == F.col("__i"), "left")
     return out.drop("__t", "__s", "__p", "__i")
+
+
+#: Notes that say a speech is not the speaker's own; every other kind brings a judgment.
+EXCLUDES = "non_self_speech"
+JUDGMENT = "struct<activated_memory:array<string>,interpretation:string,decision:string,emotion:string,intention:string,action:string,evidence:array<string>>"
+
+
+def apply_annotations(rows: DataFrame, notes: DataFrame, learn: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept, excluded, problems): records with the judgment of their note, records that a note takes out, and notes that cannot stand.
+
+    ``rows``: record_key, kind, table, episode, speech, context (all turns) and memory (the lines that
+    may be named). ``notes``: record_key, annotation_kind, reason, evidence, evidence_key, judgment. A
+    note that excludes needs evidence in the speech of its own record, or of the one that it names in the
+    same episode; a judgment must be complete, its evidence stand in the context and its memory among the
+    lines. Without ``learn`` judgments are left aside, but their notes count as used. Each note must have
+    a record and each key one note: ``problems`` has (record_key, problem) of all that do not, and is
+    empty where everything is consumed. A record whose note has a problem is kept as it is.
+    """
+    from weftline.operators.records import evidence_problem
+
+    n = notes.select("record_key", "annotation_kind", "reason", "evidence", "evidence_key", F.col("judgment").cast(JUDGMENT).alias("note"))
+    counts = n.groupBy("record_key").agg(F.count("*").alias("__n"))
+    n = n.join(counts, "record_key")
+    out_ = F.col("annotation_kind").eqNullSafe(F.lit(EXCLUDES))
+    shown = evidence_problem(n.where(out_ & (F.col("__n") == 1)).select("record_key", "evidence_key", "evidence"), rows).select(F.col("record_key").alias("__k"), F.col("problem").alias("__shown"))
+    source = rows.select(F.col("record_key").alias("__r"), "context", "memory")
+    j = n.join(shown, F.col("record_key") == F.col("__k"), "left").join(source, F.col("record_key") == F.col("__r"), "left")
+    said = lambda c: F.coalesce(F.col(f"note.{c}"), F.lit("")) != ""
+    whole = said("interpretation") & said("decision") & said("emotion") & said("intention") & said("action") & F.col("note.activated_memory").isNotNull() & (F.size(F.coalesce("note.evidence", F.array().cast("array<string>"))) > 0)
+    stands = F.forall(F.coalesce("note.evidence", F.array().cast("array<string>")), lambda e: F.contains(F.coalesce("context", F.lit("")), e))
+    known = F.size(F.array_except(F.coalesce("note.activated_memory", F.array().cast("array<string>")), F.coalesce("memory", F.array().cast("array<string>")))) == 0
+    judged = F.when(F.lit(learn), F.when(~F.coalesce(whole, F.lit(False)), "incomplete").when(~F.coalesce(stands, F.lit(False)), "not_in_context").when(~known, "unknown_memory"))
+    problem = F.when(F.col("__n") > 1, "repeated").when(F.col("__r").isNull(), "no_record").when(out_, F.col("__shown")).otherwise(judged)
+    j = j.select(F.col("record_key").alias("__k"), "annotation_kind", "reason", "note", problem.alias("problem"))
+    problems = j.where("problem is not null").select(F.col("__k").alias("record_key"), "problem")
+    good = j.where("problem is null").drop("problem")
+    met = rows.join(good, F.col("record_key") == F.col("__k"), "left")
+    gone = F.col("annotation_kind").eqNullSafe(F.lit(EXCLUDES))
+    kept = met.where(~gone).select(*rows.columns, F.when(F.lit(learn), F.col("note")).alias("judgment"))
+    excluded = met.where(gone).select("record_key", F.lit(EXCLUDES).alias("exclusion"), F.col("reason").alias("detail"), F.col("speech").alias("preview"))
+    return kept, excluded, problems

@@ -716,6 +716,7 @@ def events_session(spark, d):
     return events.sessions(table(spark, d, "events", ["ts", "user_id"])).select("user_id", "start", "n")
 
 
+from weftline.plans import lanes as _lanes  # noqa: E402, F401  (registers its queries)
 from weftline.plans import records as _records  # noqa: E402, F401  (registers its queries)
 from weftline.plans import scripts as _scripts  # noqa: E402, F401  (registers its queries)
 from weftline.plans import vocabulary as _vocabulary  # noqa: E402, F401  (registers its queries)
