@@ -65,10 +65,6 @@ def test_segments(spark):
     assert [(s.kind, s.text) for s in got] == [("speech", "hi"), ("action", "waves"), ("speech", "you"), ("speech", "* x")]
 
 
-def test_longest_match(spark):
-    assert one(spark, "abcabx", text.longest_match({"ab": "X", "abc": "Y"})) == "YXx"
-
-
 def test_hashes(spark):
     rows = spark.createDataFrame([(f"k{i}",) for i in range(200)], "k string").select("k", hashing.stable_index(F.col("k"), 97).alias("i"), hashing.permille(F.col("k")).alias("p")).collect()
     for r in rows:

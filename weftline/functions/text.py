@@ -174,58 +174,6 @@ def name_forms(name: Column, suffixes: list[str]) -> Column:
     return F.array_distinct(F.flatten(F.transform(forms, lambda f: F.array(f, *[F.concat(f, F.lit(s)) for s in suffixes]))))
 
 
-def longest_match(mapping: dict[str, str]):
-    """An Arrow function that rewrites a text left to right, the longest key first at each place."""
-    table, most = dict(mapping), max(map(len, mapping), default=0)
-
-    def convert(t: str | None) -> str | None:
-        if t is None:
-            return None
-        out, i = [], 0
-        while i < len(t):
-            hit = next((t[i : i + n] for n in range(min(most, len(t) - i), 0, -1) if t[i : i + n] in table), None)
-            out.append(t[i] if hit is None else table[hit])
-            i += 1 if hit is None else len(hit)
-        return "".join(out)
-
-    @F.pandas_udf(StringType())
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(convert)
-
-    return run
-
-
-def agreeing_replacement(names: dict[str, str]):
-    """An Arrow function that replaces names, the longest first, and re-agrees the particle after each."""
-    pairs = {p: v for v in PARTICLES.values() for p in v}
-    order = sorted(names, key=lambda n: (-len(n), n))
-    marks = sorted(pairs, key=lambda p: (-len(p), p))
-
-    def closed(w: str) -> bool:
-        return bool(w) and HANGUL_BASE <= ord(w[-1]) <= HANGUL_LAST and (ord(w[-1]) - HANGUL_BASE) % FINALS > 0
-
-    def convert(t: str | None) -> str | None:
-        import re
-
-        if t is None or not order:
-            return t
-        pattern = re.compile("(" + "|".join(map(re.escape, order)) + ")(" + "|".join(marks) + ")?(?![가-힣])|(" + "|".join(map(re.escape, order)) + ")")
-
-        def put(m):
-            if m[3]:
-                return names[m[3]]
-            new = names[m[1]]
-            return new + (pairs[m[2]][0 if closed(new) else 1] if m[2] else "")
-
-        return pattern.sub(put, t)
-
-    @F.pandas_udf(StringType())
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(convert)
-
-    return run
-
-
 def quoted_parts(c: Column) -> Column:
     """Top-level quoted parts of a text with nested quotes and glosses in brackets taken out (Arrow)."""
 

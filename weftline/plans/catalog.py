@@ -153,23 +153,6 @@ def longest_first(spark, d):
     return w.select("w", F.length("w").cast("long").alias("n")).orderBy(F.desc("n"), "w").limit(50)
 
 
-@query("SELECT * FROM (VALUES (1, 'pQ'), (2, 'xQx'), (3, ''), (4, NULL)) t(id, text)")
-def script_conversion(spark, d):
-    """Three chained longest-match passes over literal texts."""
-    rows = spark.createDataFrame([(1, "abcab"), (2, "xabx"), (3, ""), (4, None)], "id int, text string")
-    out = F.col("text")
-    for stage in ({"ab": "X", "abc": "Y"}, {"X": "pq", "Y": "p"}, {"pq": "Q"}):
-        out = text.longest_match(stage)(out)
-    return rows.select("id", out.alias("text"))
-
-
-@query("SELECT * FROM (VALUES (1, '정령은 왔다', '엑사는 왔다가'), (2, '정령을 본다', '엑사를 본다가'), (3, '나라', '나라가')) t(id, text, with_particle)")
-def name_agreement(spark, d):
-    """Names replaced in literal texts, the particle after each re-agreed."""
-    rows = spark.createDataFrame([(1, "엑사는 왔다"), (2, "엑사를 본다"), (3, "나라")], "id int, text string")
-    return rows.select("id", text.agreeing_replacement({"엑사": "정령"})(F.col("text")).alias("text"), text.with_particle(F.col("text"), "subject").alias("with_particle"))
-
-
 # -- gates and audits ---------------------------------------------------------------------------
 
 LEXICON = [("identity", ["assistant", "language model"]), ("tool", ["search", "http"]), ("protected", ["secret", "token ="]), ("review", ["license"])]
@@ -719,4 +702,5 @@ def events_session(spark, d):
 from weftline.plans import lanes as _lanes  # noqa: E402, F401  (registers its queries)
 from weftline.plans import records as _records  # noqa: E402, F401  (registers its queries)
 from weftline.plans import scripts as _scripts  # noqa: E402, F401  (registers its queries)
+from weftline.plans import substitution as _substitution  # noqa: E402, F401  (registers its queries)
 from weftline.plans import vocabulary as _vocabulary  # noqa: E402, F401  (registers its queries)
