@@ -46,7 +46,7 @@ def converter(pairs: list[tuple[int, str, str]], agree: bool):
 
     def once(machine, text: str) -> str:
         out, last, again = [], 0, True
-        while again:
+        while again and last < len(text):
             again = False
             for end, (size, target) in machine.iter_long(text, last):
                 out += [text[last : end - size + 1], target]
