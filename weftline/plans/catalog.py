@@ -704,5 +704,6 @@ from weftline.plans import lanes as _lanes  # noqa: E402, F401  (registers its q
 from weftline.plans import records as _records  # noqa: E402, F401  (registers its queries)
 from weftline.plans import registers as _registers  # noqa: E402, F401  (registers its queries)
 from weftline.plans import scripts as _scripts  # noqa: E402, F401  (registers its queries)
+from weftline.plans import sessions as _sessions  # noqa: E402, F401  (registers its queries)
 from weftline.plans import substitution as _substitution  # noqa: E402, F401  (registers its queries)
 from weftline.plans import vocabulary as _vocabulary  # noqa: E402, F401  (registers its queries)
