@@ -54,6 +54,9 @@ def one(spark, value, column):
         (lambda c: evaluate.first_hit(c, ["AI", "bot"]), "a Bot, an ai", "AI"),
         (evaluate.number_answer, " 2 .", 2),
         (evaluate.number_answer, "2 or 3", None),
+        (lambda c: evaluate.number_answer(c, ["개"], {"두개": 2, "둘": 2}), "2 개.", 2),
+        (lambda c: evaluate.number_answer(c, ["개"], {"두개": 2, "둘": 2}), "두 개!", 2),
+        (lambda c: evaluate.number_answer(c, ["개"], {"두개": 2, "둘": 2}), "둘다", None),
     ],
 )
 def test_text(spark, f, value, want):
@@ -65,6 +68,16 @@ def test_segments(spark):
     assert [(s.kind, s.text) for s in got] == [("speech", "hi"), ("action", "waves"), ("speech", "you"), ("speech", "* x")]
 
 
+def test_json_text_is_what_the_standard_library_writes(spark):
+    import json
+
+    from weftline.operators import records
+
+    rows = ["".join(chr(i) for i in range(256)), "\x0b\x0b\x1f", "\\u000B", "\\\\u001F\x1f\\\x1f", 'q"\\', "é日\u2028", ""]
+    got = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string").select("i", records.json_text(F.col("t")).alias("j")).orderBy("i").collect()
+    assert [r.j for r in got] == [json.dumps(r, ensure_ascii=False) for r in rows]
+
+
 def test_hashes(spark):
     rows = spark.createDataFrame([(f"k{i}",) for i in range(200)], "k string").select("k", hashing.stable_index(F.col("k"), 97).alias("i"), hashing.permille(F.col("k")).alias("p")).collect()
     for r in rows:
@@ -229,7 +242,7 @@ def test_sources_and_sinks(spark, tmp_path):
     assert sorted(r.x for r in rows.collect()) == [1, 3] and [r.line for r in bad.collect()] == ["{bad"]
     with gzip.open(tmp_path / "t.gz", "wt") as f:
         f.write('["a", "b"]\n["c"]\n')
-    assert sorted(r.turns for r in tables.array_lines(spark, str(tmp_path / "t.gz")).collect()) == [["a", "b"], ["c"]]
+    assert sorted(r.turns for r in tables.array_lines(spark, str(tmp_path / "t.gz"))[0].collect()) == [["a", "b"], ["c"]]
     (tmp_path / "d.txt").write_text("# note\nk\tv w\nk\tz\n\nq\t\n")
     assert [(r.key, r.value) for r in tables.dictionary(spark, str(tmp_path / "d.txt")).collect()] == [("k", "v")]
     (tmp_path / "p").mkdir()

@@ -85,8 +85,8 @@ def clean_roleplay(c: Column, emoticons: str = "[ㅋㅎㅠㅜ^]{2,}") -> Column:
 
 def sentences(c: Column) -> Column:
     """Sentences without the marks, brackets and quotes at their ends; none empty."""
-    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"([^{SENTENCE_MARKS}]+)[{SENTENCE_MARKS}]*"), F.lit(1))
-    bare = F.transform(found, lambda s: F.regexp_replace(strip(s), f"[{SENTENCE_MARKS} )\"']+$", ""))
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"[^{SENTENCE_MARKS}]+"), F.lit(0))
+    bare = F.transform(found, lambda s: F.rtrim(strip(s), F.lit(SENTENCE_MARKS + " )\"'")))
     return F.filter(bare, lambda s: s != "")
 
 

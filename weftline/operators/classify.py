@@ -49,6 +49,12 @@ def audit(df: DataFrame, checks: dict[str, Column], keys: list[str]) -> DataFram
     return out.where("matched is not null and matched <> ''")
 
 
+def guarded(c: Column, pattern: str, needs: str | None = None, start: str = "") -> Column:
+    """The first match of a pattern, which is only tried where the text ``needs`` stands, and only behind ``start``; empty without one."""
+    found = F.regexp_extract(c, start + pattern, 0)
+    return found if needs is None else F.when(F.contains(c, F.lit(needs)), found).otherwise("")
+
+
 def samples(found: DataFrame, per: str, order: list, most: int = 5) -> DataFrame:
     """The first ``most`` rows of each check in a total order."""
     w = Window.partitionBy(per).orderBy(*order)

@@ -66,10 +66,19 @@ def required_groups(c: Column, groups: list[list[str]]) -> Column:
     return out
 
 
-def number_answer(c: Column) -> Column:
-    """The number that is the whole answer, but for marks at its end; else null."""
-    plain = F.regexp_replace(c, r"(?U)\s+", "")
-    return F.nullif(F.regexp_extract(plain, r"^(\d{1,18})[.!。]*$", 1), F.lit("")).try_cast("long")
+def number_answer(c: Column, counters: list[str] = [], words: dict[str, int] = {}) -> Column:
+    """The number that is the whole answer, but for a counter behind it and marks at its end; a word may stand for one; else null."""
+    plain = F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", ""), "[.!。]*$", "")
+    counter = "(?:" + "|".join(rf"\Q{x}\E" for x in counters) + ")?" if counters else ""
+    out = F.nullif(F.regexp_extract(plain, rf"^(\d{{1,18}}){counter}$", 1), F.lit("")).try_cast("long")
+    for word, n in words.items():
+        out = F.when(plain == word, F.lit(n).cast("long")).otherwise(out)
+    return out
+
+
+def objective_score(answer: Column, expected: int) -> Column:
+    """1 for the expected number, 0 for another, null where the answer is none and must be read."""
+    return F.when(answer.isNotNull(), (answer == expected).cast("double"))
 
 
 def verdict(score: Column) -> Column:

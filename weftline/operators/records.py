@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 
 def json_text(c: Column) -> Column:
-    """A string as JSON text: quotes, backslashes and control characters escaped, everything else as it is; null stays ``null``."""
-    return F.coalesce(F.substring(F.to_json(F.array(c)), F.lit(2), F.length(F.to_json(F.array(c))) - 2), F.lit("null"))
+    """A string as JSON text: quotes, backslashes and control characters escaped, with small letters in their numbers, everything else as it is; null stays ``null``."""
+    made = F.to_json(F.array(c))
+    small = made
+    for code in (*range(0x0B, 0x0C), *range(0x0E, 0x10), *range(0x1A, 0x20)):
+        small = F.regexp_replace(small, r"(?<!\\)((?:\\\\)*)\\u%04X" % code, r"$1\\u%04x" % code)
+    made = F.when(made.rlike(r"\\u00[01][A-F]"), small).otherwise(made)
+    return F.coalesce(F.substring(made, F.lit(2), F.length(made) - 2), F.lit("null"))
 
 
 def json_list(c: Column) -> Column:

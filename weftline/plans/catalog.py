@@ -225,11 +225,14 @@ def record_validation(spark, d):
 
 
 AUDIT = {"email": r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", "url": r"https?://[^ \n]+", "number": r"[0-9]{6,}", "pipe": r"\| [A-Za-z]+ \|", "shout": r"[A-Z]{4,}!!", "license": r"[Ll]icense[a-z]*"}
+#: A text that every match holds, and what must not stand ahead of one, so that a run is tried from its start alone.
+AUDIT_NEEDS = {"email": "@", "url": "http", "pipe": "| ", "shout": "!!", "license": "icense"}
+AUDIT_STARTS = {"email": "(?<![A-Za-z0-9._])", "number": "(?<![0-9])"}
 AUDIT_SQL = "a AS (" + " UNION ALL ".join(f"SELECT doc_id, '{n}' AS \"check\", regexp_extract(text, '{p}') AS matched FROM documents" for n, p in AUDIT.items()) + ")"
 
 
 def audited(spark, d):
-    return classify.audit(table(spark, d, "documents", ["doc_id", "text"]), {n: F.regexp_extract("text", p, 0) for n, p in AUDIT.items()}, ["doc_id"])
+    return classify.audit(table(spark, d, "documents", ["doc_id", "text"]), {n: classify.guarded(F.col("text"), p, AUDIT_NEEDS.get(n), AUDIT_STARTS.get(n, "")) for n, p in AUDIT.items()}, ["doc_id"])
 
 
 @query(f"""WITH {AUDIT_SQL} SELECT "check", count(*) AS n FROM a WHERE matched <> '' GROUP BY "check" """)
@@ -665,7 +668,7 @@ def pipeline_funnel(spark, d):
     docs = table(spark, d, "documents", ["doc_id", "text"])
     full = docs.where(~text.is_empty_text(F.col("text")))
     ok, _ = classify.gate(full, F.when(F.contains(F.lower("text"), F.lit("secret")), "secret"), "policy", ["doc_id"])
-    once = dedup.first_seen(ok.withColumn("h", F.sha2("text", 256)), ["h"], ["doc_id"]).where("kept").select("doc_id")
+    once = dedup.first_rows(ok.withColumn("h", F.sha2("text", 256)), ["h"], ["doc_id"], ["doc_id"])
     once = materialize(once, "once")
     return report.funnel([("read", docs), ("not_empty", full), ("gate", ok), ("dedup", once), ("train", once.where(hashing.held_out_split(F.col("doc_id").cast("string")) == "train"))])
 
@@ -706,4 +709,5 @@ from weftline.plans import registers as _registers  # noqa: E402, F401  (registe
 from weftline.plans import scripts as _scripts  # noqa: E402, F401  (registers its queries)
 from weftline.plans import sessions as _sessions  # noqa: E402, F401  (registers its queries)
 from weftline.plans import substitution as _substitution  # noqa: E402, F401  (registers its queries)
+from weftline.plans import texts as _texts  # noqa: E402, F401  (registers its queries)
 from weftline.plans import vocabulary as _vocabulary  # noqa: E402, F401  (registers its queries)

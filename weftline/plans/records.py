@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.functions import text
 from weftline.operators import classify, records
 from weftline.plans.catalog import query
 from weftline.sources.tables import table
@@ -134,11 +133,3 @@ def dialogue_gate(spark, d):
     rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
     joined = F.array_join(F.transform("t", lambda x: x["text"]), "\n")
     return rows.select("conv_id", classify.decide([("excluded", joined.rlike("(^|[^a-z])secret")), ("review", joined.rlike("license"))], "accepted").alias("state"))
-
-
-@query("""SELECT * FROM (VALUES (1, 'hi there', true, 'ab', 'say hi'), (2, 'plain', false, 'ab', 'say hi'), (3, '', false, 'ab', 'say hi')) t(id, unquoted, quoted, joined, cleaned)""")
-def literal_text_functions(spark, d):
-    """Quotes, spaces between letters that are not ASCII, and stage directions, over literal rows."""
-    rows = spark.createDataFrame([(1, '"hi there"'), (2, "plain"), (3, "")], "id int, t string")
-    joined = F.replace(F.replace(text.join_cjk(F.lit("가 나")), F.lit("가"), F.lit("a")), F.lit("나"), F.lit("b"))
-    return rows.select("id", text.unquote(F.col("t")).alias("unquoted"), text.is_quoted(F.col("t")).alias("quoted"), joined.alias("joined"), text.clean_roleplay(F.lit("*waves* say  hi")).alias("cleaned"))

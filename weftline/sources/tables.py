@@ -35,18 +35,17 @@ def json_lines(spark: SparkSession, path: str, schema: str, id_col: str | None =
     return rows, parsed.where("j is null or j._corrupt is not null").select(F.col("value").alias("line"))
 
 
-def array_lines(spark: SparkSession, path: str, column: str = "turns") -> DataFrame:
-    """Plain or gzip text whose lines are bare JSON arrays of strings."""
+def array_lines(spark: SparkSession, path: str, column: str = "turns") -> tuple[DataFrame, DataFrame]:
+    """(rows, bad) of plain or gzip text whose lines are bare JSON arrays of strings; lines that are not go to ``bad`` with their text."""
     raw = spark.read.text(path).where(F.trim("value") != "")
-    return raw.select(F.from_json("value", "array<string>").alias(column), F.sha2("value", 256).alias("line_key"))
+    parsed = raw.select("value", F.from_json("value", "array<string>").alias(column))
+    rows = parsed.where(F.col(column).isNotNull()).select(column, F.sha2("value", 256).alias("line_key"))
+    return rows, parsed.where(F.col(column).isNull()).select(F.col("value").alias("line"))
 
 
 def dictionary(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:
-    """(key, value) of a tab-separated dictionary: the first of the space-separated values; the first line of a key counts.
-
-    The file is read whole, as one record, for its lines have an order.
-    """
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+    """(key, value) of a tab-separated dictionary: the first of the space-separated values; the first line of a key counts."""
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.regexp_replace("value", "\r$", "").alias("line"))
     parts = F.split("line", "\t", 2)
     rows = lines.where((F.trim("line") != "") & ~F.col("line").startswith(comment)).select("line_no", F.get(parts, F.lit(0)).alias("key"), F.split(F.get(parts, F.lit(1)), " ")[0].alias("value"))
     return rows.where("key <> '' and value <> ''").groupBy("key").agg(F.min_by("value", "line_no").alias("value"))
