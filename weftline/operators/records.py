@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.text import strip
+
 
 def json_text(c: Column) -> Column:
     """A string as JSON text: quotes, backslashes and control characters escaped, with small letters in their numbers, everything else as it is; null stays ``null``."""
@@ -118,6 +120,34 @@ def render_template(template: Column, language: Column, translated: DataFrame, v
     return names, (template == F.col("__t")) & (language == F.col("__l")), F.when(language == own, text).otherwise(F.col("__text"))
 
 
+#: What the relation of a narrative says of it, and the names of felt emotions.
+RELATIONS = {"xAttr": "interpretation", "xReact": "emotion", "xIntent": "intention", "xWant": "intention", "xNeed": "decision", "xEffect": "action"}
+EMOTIONS = {
+    "afraid": "두려움", "angry": "분노", "annoyed": "짜증", "anticipating": "기대", "anxious": "불안", "apprehensive": "걱정", "ashamed": "수치심", "caring": "보살핌",
+    "confident": "자신감", "content": "만족", "devastated": "절망", "disappointed": "실망", "disgusted": "혐오", "embarrassed": "당혹", "excited": "신남", "faithful": "신뢰",
+    "furious": "격분", "grateful": "감사", "guilty": "죄책감", "hopeful": "희망", "impressed": "감탄", "jealous": "질투", "joyful": "기쁨", "lonely": "외로움",
+    "nostalgic": "그리움", "prepared": "준비됨", "proud": "자부심", "sad": "슬픔", "sentimental": "감상", "surprised": "놀람", "terrified": "공포", "trusting": "믿음",
+}
+
+
+def general_records(rows: DataFrame, language: str, split: Column, kind: str) -> DataFrame:
+    """(id, language, split, first_role, turns, judgment) of foreign dialogues: each gives a conversation, a judgment, both or neither.
+
+    ``rows``: id, turns, cue (the narrative or situation) and, of ``kind`` relation, relation and tail, or, of
+    ``kind`` emotion, emotion. A conversation has two turns that are not blank at least; a judgment is JSON of one field, by
+    the relation or the emotion's name, and stands for rows whose cue and value are there and known. Both share the split of the id.
+    """
+    table = RELATIONS if kind == "relation" else EMOTIONS
+    known = F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), F.coalesce(F.col(kind), F.lit("")))
+    field, value = (known, strip(F.col("tail"))) if kind == "relation" else (F.when(known.isNotNull(), F.lit("emotion")), known)
+    turns = F.filter(F.transform(F.coalesce("turns", F.array().cast("array<string>")), strip), lambda t: t != "")
+    base = rows.select("id", F.lit(language).alias("language"), split.alias("split"), F.lit("user").alias("first_role"), turns.alias("turns"), strip(F.col("cue")).alias("__cue"), field.alias("__field"), value.alias("__value"))
+    talk = base.where(F.size("turns") >= 2).select("id", "language", "split", "first_role", "turns", F.lit(None).cast("string").alias("judgment"))
+    made = F.concat(F.lit('{"'), F.col("__field"), F.lit('": '), json_text(F.col("__value")), F.lit("}"))
+    judged = base.where(F.col("__field").isNotNull() & (F.coalesce("__cue", F.lit("")) != "") & (F.coalesce("__value", F.lit("")) != ""))
+    return talk.unionByName(judged.select(F.concat("id", F.lit(":judgment")).alias("id"), "language", "split", "first_role", F.array("__cue").alias("turns"), made.alias("judgment")))
+
+
 def judgment_record(relation: Column, fields: dict[str, str], value: Column, situation: Column) -> Column:
     """JSON of the situation and, under the name that the relation stands for, the value; null for an unknown relation."""
     made = None

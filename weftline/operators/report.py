@@ -71,3 +71,42 @@ def funnel(steps: list[tuple[str, DataFrame]]) -> DataFrame:
     """(step, stage, n): the rows left after each stage."""
     parts = [df.agg(F.count("*").alias("n")).select(F.lit(i).alias("step"), F.lit(name).alias("stage"), "n") for i, (name, df) in enumerate(steps)]
     return reduce(DataFrame.unionByName, parts)
+
+
+def style_profile(df: DataFrame, owner: str, text: str, addresses: list[str], first_persons: dict[str, str], second: str, level: Column | None = None, least_addressed: int = 5, address: str = "", plain: str = "", polite: str = "") -> DataFrame:
+    """``level_profile`` with how an owner speaks of itself and to others: address, first_person, uses_second_person, addressed.
+
+    Levels are those of sentences in texts with an address where there are ``least_addressed`` of them
+    (``addressed``), else of all. Addresses are counted in their order, each in what the ones before have
+    left; first persons by patterns. Of equal counts the earlier in its list wins. ``address``,
+    ``plain`` and ``polite`` stand where none occurs; registers other than casual and archaic take no ``plain`` first person.
+    """
+    any_ = F.lit(False)
+    for a in addresses:
+        any_ = any_ | F.contains(F.col(text), F.lit(a))
+    marked = df.where(F.col(owner).isNotNull()).select(owner, text, F.coalesce(any_, F.lit(False)).alias("__addressed"))
+    counts, rest = [], F.coalesce(F.col(text), F.lit(""))
+    for i, a in enumerate(addresses):
+        without = F.replace(rest, F.lit(a), F.lit(""))
+        counts.append(F.sum((F.length(rest) - F.length(without)) / len(a)).cast("long").alias(f"__a{i}"))
+        rest = F.replace(rest, F.lit(a), F.lit(" "))
+    found = lambda p: F.size(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(p), F.lit(0)))
+    firsts = [F.sum(found(p)).alias(f"__f{i}") for i, p in enumerate(first_persons.values())]
+    said = marked.groupBy(F.col(owner).alias("__o")).agg(*counts, *firsts, F.sum(found(second)).alias("__second"))
+    every = level_profile(marked, owner, text, level=level).withColumn("addressed", F.lit(False))
+    some = level_profile(marked.where("__addressed"), owner, text, level=level).where(F.col("total") >= least_addressed).withColumn("addressed", F.lit(True))
+    known = some.select(F.col(owner).alias("__k"))
+    levels = some.unionByName(every.join(known, F.col(owner) == F.col("__k"), "left_anti"))
+    out = levels.join(said, F.col(owner) == F.col("__o"))
+
+    def most(names: list[str], column: str) -> Column:
+        """(count, name) of the most frequent; null if none occurs."""
+        each = [F.when(F.col(f"{column}{i}") > 0, F.struct(F.col(f"{column}{i}").alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("name"))) for i, name in enumerate(names)]
+        return F.array_max(F.array_compact(F.array(*each))) if each else F.lit(None).cast("struct<n:bigint,i:int,name:string>")
+
+    terms = list(first_persons)
+    formal = F.array_max(F.array_compact(F.array(*[F.when(F.col(f"__f{i}") > 0, F.struct(F.col(f"__f{i}").alias("n"), F.lit(-i).alias("i"), F.lit(t).alias("name"))) for i, t in enumerate(terms) if t != plain]))) if any(t != plain for t in terms) else F.lit(None).cast("struct<n:bigint,i:int,name:string>")
+    best = most(addresses, "__a")
+    familiar = F.col("level").isin("casual", "archaic")
+    person = F.when(familiar, F.coalesce(most(terms, "__f")["name"], F.lit(plain))).otherwise(F.coalesce(formal["name"], F.lit(polite)))
+    return out.select(*every.columns, F.coalesce(best["name"], F.lit(address)).alias("address"), person.alias("first_person"), (F.col("__second") > F.coalesce(best["n"], F.lit(0))).alias("uses_second_person"))

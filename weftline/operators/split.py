@@ -56,16 +56,19 @@ def fill_greedily(sizes: list[tuple], ratios: tuple[float, float, float], total:
     return out
 
 
-def fill_by_size(histogram: list[tuple[int, int]], ratios: tuple[float, float, float]) -> list[tuple[int, int, list[int]]]:
+def fill_by_size(histogram: list[tuple[int, int]], ratios: tuple[float, float, float], in_train: int = 0) -> list[tuple[int, int, list[int]]]:
     """The deal of ``fill_greedily`` for (size, components) runs, largest first, as (size, first place in the run, splits in turn).
 
     Within a run every deal lowers a deficit by the same size, so splits take turns: those within one
     size of the largest deficit, in a fixed order, until a further one comes within reach. That is three
     entries a run at most. Only the last three components of all can be due to unserved splits.
+    ``in_train`` rows are in the first split already and count for the total.
     """
-    total, left = sum(n * k for n, k in histogram), sum(k for _, k in histogram)
+    total, left = sum(n * k for n, k in histogram) + in_train, sum(k for _, k in histogram)
     missing = {s: Fraction(total * ratios[s]) for s in range(3) if ratios[s] > 0}
-    unserved = list(missing)
+    unserved = [s for s in missing if s or not in_train]
+    if in_train:
+        missing[0] -= in_train
     plan = []
     for n, k in histogram:
         at = 0
@@ -88,27 +91,50 @@ def fill_by_size(histogram: list[tuple[int, int]], ratios: tuple[float, float, f
     return plan
 
 
-def leakage_safe_split(components: DataFrame, ratios: tuple[float, float, float] = (0.85, 0.1, 0.05), seed: int = 42) -> DataFrame:
+def leakage_safe_split(components: DataFrame, ratios: tuple[float, float, float] = (0.85, 0.1, 0.05), seed: int = 42, reviewed: DataFrame | None = None) -> DataFrame:
     """(component, size, split) from (id, component); no component is parted.
 
+    ``reviewed`` (id) are rows that supervision needs: of the components with one, the first in the deal's
+    order is dealt before all others, to train. Ids that have no component count for nothing.
+
     Components go largest first, ties in a seeded order, each to the split with the largest deficit.
     The driver plans the deal from the histogram of sizes, which has fewer entries than the square root
     of twice the rows; a component finds its turn by its place among those of its size.
     """
     check_ratios(ratios)
     sizes = materialize(components.groupBy("component").agg(F.count("*").alias("size")), "sizes")
+    key = seeded_order(seed, F.col("component"))
+    first = None
+    if reviewed is not None and ratios[0] > 0:
+        held = components.join(reviewed.select(F.col("id").alias("__id")).distinct(), F.col("id") == F.col("__id"), "left_semi").select(F.col("component").alias("__c")).distinct()
+        first = sizes.join(held, F.col("component") == F.col("__c"), "left_semi").orderBy(F.desc("size"), key, "component").first()
+    whole = sizes
+    if first is not None:
+        sizes = sizes.where(F.col("component") != F.lit(first["component"]))
     histogram = [(r["size"], r["count"]) for r in sizes.groupBy("size").count().orderBy(F.desc("size")).collect()]
     turns: dict[int, list] = {}
-    for n, at, turn in fill_by_size(histogram, ratios):
+    for n, at, turn in fill_by_size(histogram, ratios, first["size"] if first is not None else 0):
         turns.setdefault(n, []).append((at, [SPLITS[s] for s in turn]))
     plan = components.sparkSession.createDataFrame(list(turns.items()), "__size long, __turns array<struct<at:long,splits:array<string>>>")
-    key = seeded_order(seed, F.col("component"))
     cell = F.coalesce(F.conv(F.substring(key, 1, 4), 16, 10).cast("int"), F.lit(-1))
     placed = running_total(sizes, "size", cell, [key, F.col("component")], F.lit(1), "__place")
     placed = join_checked(placed, plan, F.col("size") == F.col("__size"), "inner")
     turn = F.element_at(F.filter("__turns", lambda t: t["at"] <= F.col("__place")), -1)
     split = F.element_at(turn["splits"], ((F.col("__place") - turn["at"]) % F.size(turn["splits"]) + 1).cast("int"))
-    return placed.select("component", "size", split.alias("split"))
+    out = placed.select("component", "size", split.alias("split"))
+    if first is None:
+        return out
+    return out.unionByName(whole.where(F.col("component") == F.lit(first["component"])).select("component", "size", F.lit(SPLITS[0]).alias("split")))
+
+
+def require_full_splits(assigned: DataFrame, ratios: tuple[float, float, float]) -> dict[str, int]:
+    """Rows of each split of ``assigned`` (split); raise if one whose ratio is not 0 has none."""
+    check_ratios(ratios)
+    counts = {r["split"]: r["count"] for r in assigned.groupBy("split").count().collect()}
+    empty = [s for s, r in zip(SPLITS, ratios, strict=True) if r > 0 and not counts.get(s)]
+    if empty:
+        raise ValueError(f"splits without a row: {empty}")
+    return {s: counts.get(s, 0) for s in SPLITS}
 
 
 def extend_split(components: DataFrame, prior: DataFrame) -> DataFrame:

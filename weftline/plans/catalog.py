@@ -702,6 +702,7 @@ def events_session(spark, d):
     return events.sessions(table(spark, d, "events", ["ts", "user_id"])).select("user_id", "start", "n")
 
 
+from weftline.plans import audits as _audits  # noqa: E402, F401  (registers its queries)
 from weftline.plans import chains as _chains  # noqa: E402, F401  (registers its queries)
 from weftline.plans import lanes as _lanes  # noqa: E402, F401  (registers its queries)
 from weftline.plans import lessons as _lessons  # noqa: E402, F401  (registers its queries)
