@@ -31,6 +31,14 @@ def length_batches(df: DataFrame, owner: str, id_col: str, length: str, batch: i
     return out.withColumn("batch", F.floor((F.row_number().over(v) - 1) / batch))
 
 
+def shuffled_batches(batches: DataFrame, owner: str, seed: int = 42) -> DataFrame:
+    """``batches`` (owner, pool, batch) with ``step``: the place of each batch among its owner's, from 0, in a seeded order, whatever its pool."""
+    units = batches.select(owner, "pool", "batch").distinct().withColumn("__unit", F.concat_ws("|", F.coalesce(F.col(owner).cast("string"), F.lit("")), F.col("pool").cast("string"), F.col("batch").cast("string")))
+    placed = _seeded(units, owner, "__unit", seed).select(F.col(owner).alias("__b_owner"), F.col("pool").alias("__b_pool"), F.col("batch").alias("__b_batch"), F.col("__before").alias("step"))
+    on = F.col(owner).eqNullSafe(F.col("__b_owner")) & (F.col("pool") == F.col("__b_pool")) & (F.col("batch") == F.col("__b_batch"))
+    return join_checked(batches, materialize(placed, "steps"), on, "inner").drop("__b_owner", "__b_pool", "__b_batch")
+
+
 def token_offsets(df: DataFrame, owner: str, id_col: str, size: str) -> DataFrame:
     """``df`` with ``offset``: the tokens before each row in its owner's flat store; a null size counts as none."""
     return ranged_total(df, owner, [id_col], F.coalesce(F.col(size), F.lit(0)), "offset")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.text import strip
+from weftline.functions.text import masked_entity, strip
 
 
 def json_text(c: Column) -> Column:
@@ -159,7 +159,7 @@ def judgment_record(relation: Column, fields: dict[str, str], value: Column, sit
 
 def mentions_itself(c: Column, pattern: str) -> Column:
     """Whether a text names a masked entity, or its speaker in the words of the pattern."""
-    return c.rlike(r"@[^@\s]{1,20}@") | c.rlike(pattern)
+    return masked_entity(c) | c.rlike(pattern)
 
 
 def both_ways(comments: DataFrame, names: DataFrame, about: str, by: str, text: str) -> DataFrame:

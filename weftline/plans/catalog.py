@@ -706,6 +706,7 @@ from weftline.plans import audits as _audits  # noqa: E402, F401  (registers its
 from weftline.plans import chains as _chains  # noqa: E402, F401  (registers its queries)
 from weftline.plans import lanes as _lanes  # noqa: E402, F401  (registers its queries)
 from weftline.plans import lessons as _lessons  # noqa: E402, F401  (registers its queries)
+from weftline.plans import parts as _parts  # noqa: E402, F401  (registers its queries)
 from weftline.plans import records as _records  # noqa: E402, F401  (registers its queries)
 from weftline.plans import registers as _registers  # noqa: E402, F401  (registers its queries)
 from weftline.plans import scripts as _scripts  # noqa: E402, F401  (registers its queries)

@@ -121,9 +121,12 @@ def collated_batch(spark, d):
     return c.select("conv_id", "turn", F.size("b.ids").cast("long").alias("width"), F.aggregate("b.mask", F.lit(0), lambda a, x: a + x).cast("long").alias("attended"), F.size("b.targets").cast("long").alias("n_targets"), "b.weight")
 
 
-@query(r"""SELECT conv_id, turn FROM conversations WHERE regexp_matches(text, '@[^@\s]{1,20}@') OR regexp_matches(text, 'assistant|language model')""")
+@query(r"""WITH c AS (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN replace(text, ' th', ' @th@') WHEN 1 THEN replace(text, ' of', ' as a language model') ELSE text END AS t FROM conversations)
+    SELECT conv_id, turn FROM c WHERE regexp_matches(t, '@[^@\s]{1,20}@') OR regexp_matches(t, 'assistant|language model')""")
 def self_references(spark, d):
-    return table(spark, d, "conversations").where(records.mentions_itself(F.col("text"), "assistant|language model")).select("conv_id", "turn")
+    """Turns with a masked name or a mention of the speaker; words of the texts are made to be either."""
+    t = F.when(F.col("turn") % 3 == 0, F.replace("text", F.lit(" th"), F.lit(" @th@"))).when(F.col("turn") % 3 == 1, F.replace("text", F.lit(" of"), F.lit(" as a language model"))).otherwise(F.col("text"))
+    return table(spark, d, "conversations").withColumn("text", t).where(records.mentions_itself(F.col("text"), "assistant|language model")).select("conv_id", "turn")
 
 
 @query(r"""WITH j AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS t FROM conversations GROUP BY conv_id)

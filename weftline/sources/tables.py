@@ -61,19 +61,55 @@ def persona_files(spark: SparkSession, folder: str, schema: str, required: list[
     return rows.where(~bad).select("path", "j.*"), rows.where(bad).select("path", "broken", "missing")
 
 
+def annotation_file(spark: SparkSession, path: str, schema: str, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(notes, bad, repeated) of JSON lines keyed by content: lines that do not parse, and keys that stand more than once, whose notes are left out."""
+    rows, bad = json_lines(spark, path, schema)
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    repeated = counts.where("n > 1")
+    return rows.join(counts.where("n = 1").select(key), key, "left_semi"), bad, repeated
+
+
+def grouped_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """(key, rows): every row of a key with all its columns, in the order of some."""
+    whole = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in df.columns if c not in order])
+    return df.groupBy(key).agg(F.array_sort(F.collect_list(whole)).alias("rows"))
+
+
 class Catalogue:
-    """Named external sources: path, licence and id prefix; a missing name or path is an error."""
+    """Named external sources: path, format, licence, and an id column with its prefix; a missing name or path is an error."""
 
     def __init__(self, entries: dict[str, dict]):
         self.entries = entries
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
+    def _entry(self, name: str) -> dict:
         if name not in self.entries:
             raise KeyError(f"unknown source {name!r}; there are {sorted(self.entries)}")
-        e = self.entries[name]
-        df = spark.read.format(e.get("format", "parquet")).load(e["path"])
+        return self.entries[name]
+
+    def require(self, spark: SparkSession) -> None:
+        """Raise if a source's path is not there."""
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        path = lambda e: jvm.org.apache.hadoop.fs.Path(e["path"])
+        lost = sorted(n for n, e in self.entries.items() if not path(e).getFileSystem(conf).exists(path(e)))
+        if lost:
+            raise FileNotFoundError(f"sources without their files: {lost}")
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        """The rows of a source with source_name, licence and, where it has an id column, ``source_id``: the prefix and that id."""
+        e = self._entry(name)
+        reader = spark.read.format(e.get("format", "parquet"))
+        df = (reader.schema(e["schema"]) if "schema" in e else reader).load(e["path"])
+        if "id" in e:
+            df = df.withColumn("source_id", F.concat(F.lit(e.get("prefix", f"{name}:")), F.col(e["id"]).cast("string")))
         return df.withColumn("source_name", F.lit(name)).withColumn("licence", F.lit(e.get("licence")))
 
+    def digest(self, spark: SparkSession, name: str, known: DataFrame | None = None) -> DataFrame:
+        """One row: files, bytes and digest of a source."""
+        from weftline.sources.digests import file_digests, folder_digest
+
+        path = self._entry(name)["path"]
+        return folder_digest(file_digests(spark, path, known), path)
+
 
 def conversations_as_arrays(turns: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
     """One row a conversation: first_role, turns in order."""
