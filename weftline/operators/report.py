@@ -28,17 +28,27 @@ def dominant(df: DataFrame, owner: str, value: str, share: float = 0.5) -> DataF
     return best.join(total, owner).where(F.col("n") >= F.lit(share) * F.col("total"))
 
 
-def level_profile(df: DataFrame, owner: str, text: str, least: float = 0.2, honorific: float = 0.3, level: Column | None = None) -> DataFrame:
-    """(owner, total, casual, polite, formal, military, archaic, level) over the sentences of an owner's texts."""
-    each = df.select(owner, F.explode(sentences(F.col(text))).alias("s"))
-    each = each.select(owner, (speech_level(F.col("s")) if level is None else level).alias("level"))
-    names = ["casual", "polite", "formal", "military", "archaic"]
-    out = each.groupBy(owner).agg(F.count("*").alias("total"), *[F.count_if(F.col("level") == n).alias(n) for n in names])
+LEVELS = ("casual", "polite", "formal", "military", "archaic")
+
+
+def _level_counts(df: DataFrame, keys: list[str], text: str, level: Column | None) -> DataFrame:
+    """(keys, total, and a count for each register) over the sentences of texts."""
+    each = df.select(*keys, F.explode(sentences(F.col(text))).alias("s"))
+    each = each.select(*keys, (speech_level(F.col("s")) if level is None else level).alias("level"))
+    return each.groupBy(*keys).agg(F.count("*").alias("total"), *[F.count_if(F.col("level") == n).alias(n) for n in LEVELS])
+
+
+def _with_level(out: DataFrame, least: float, honorific: float) -> DataFrame:
     strong = F.array_compact(F.array(*[F.when(F.col(n) / F.col("total") >= least, F.struct(F.col(n).alias("n"), F.lit(-i).alias("i"), F.lit(n).alias("name"))) for i, n in enumerate(["military", "archaic", "formal"])]))
     picked = F.when(F.size(strong) > 0, F.array_max(strong)["name"]).when((F.col("total") - F.col("casual") - F.col("archaic")) / F.col("total") >= honorific, "polite").otherwise("casual")
     return out.withColumn("level", picked)
 
 
+def level_profile(df: DataFrame, owner: str, text: str, least: float = 0.2, honorific: float = 0.3, level: Column | None = None) -> DataFrame:
+    """(owner, total, casual, polite, formal, military, archaic, level) over the sentences of an owner's texts."""
+    return _with_level(_level_counts(df, [owner], text, level), least, honorific)
+
+
 def suffix_share(df: DataFrame, text: str, suffix: str, share: float = 0.5) -> DataFrame:
     """(word, suffixed, bare): words that stand with the suffix at least ``share`` times as often as without."""
     words = df.select(F.explode(F.split(F.lower(text), r"[^a-z]+")).alias("w")).where("w <> ''").groupBy("w").agg(F.count("*").alias("n"))
@@ -90,13 +100,13 @@ def style_profile(df: DataFrame, owner: str, text: str, addresses: list[str], fi
         without = F.replace(rest, F.lit(a), F.lit(""))
         counts.append(F.sum((F.length(rest) - F.length(without)) / len(a)).cast("long").alias(f"__a{i}"))
         rest = F.replace(rest, F.lit(a), F.lit(" "))
-    found = lambda p: F.size(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(p), F.lit(0)))
+    found = lambda p: F.size(F.split(F.coalesce(F.col(text), F.lit("")), p)) - 1  # noqa: E731  the number of matches
     firsts = [F.sum(found(p)).alias(f"__f{i}") for i, p in enumerate(first_persons.values())]
     said = marked.groupBy(F.col(owner).alias("__o")).agg(*counts, *firsts, F.sum(found(second)).alias("__second"))
-    every = level_profile(marked, owner, text, level=level).withColumn("addressed", F.lit(False))
-    some = level_profile(marked.where("__addressed"), owner, text, level=level).where(F.col("total") >= least_addressed).withColumn("addressed", F.lit(True))
-    known = some.select(F.col(owner).alias("__k"))
-    levels = some.unionByName(every.join(known, F.col(owner) == F.col("__k"), "left_anti"))
+    names = ("total", *LEVELS)
+    each = _level_counts(marked, [owner, "__addressed"], text, level).groupBy(owner).agg(*[F.struct(F.sum(n).alias("every"), F.coalesce(F.sum(F.when(F.col("__addressed"), F.col(n))), F.lit(0)).alias("some")).alias(n) for n in names])
+    few = F.col("total.some") >= least_addressed
+    levels = _with_level(each.select(owner, few.alias("addressed"), *[F.when(few, F.col(f"{n}.some")).otherwise(F.col(f"{n}.every")).alias(n) for n in names]), 0.2, 0.3)
     out = levels.join(said, F.col(owner) == F.col("__o"))
 
     def most(names: list[str], column: str) -> Column:
@@ -109,4 +119,4 @@ def style_profile(df: DataFrame, owner: str, text: str, addresses: list[str], fi
     best = most(addresses, "__a")
     familiar = F.col("level").isin("casual", "archaic")
     person = F.when(familiar, F.coalesce(most(terms, "__f")["name"], F.lit(plain))).otherwise(F.coalesce(formal["name"], F.lit(polite)))
-    return out.select(*every.columns, F.coalesce(best["name"], F.lit(address)).alias("address"), person.alias("first_person"), (F.col("__second") > F.coalesce(best["n"], F.lit(0))).alias("uses_second_person"))
+    return out.select(*levels.columns, F.coalesce(best["name"], F.lit(address)).alias("address"), person.alias("first_person"), (F.col("__second") > F.coalesce(best["n"], F.lit(0))).alias("uses_second_person"))
