@@ -36,7 +36,7 @@ def test_stages(spark, tmp_path):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names and [n for n in names if n.startswith("op")] == sorted((n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert len([n for n in names if n.startswith("op")]) == 10
+    assert len([n for n in names if n.startswith("op")]) == 13
     assert set(entry.oracle_sql()) <= set(names)
 
 
