@@ -73,13 +73,12 @@ def rewritten_speech(c: Column, chain: list[list[Rule]]) -> tuple[Column, Column
     pieces = F.regexp_extract_all(split_jamo(c), F.lit(f"[^{MARKS}\n]+[{MARKS}]*"), F.lit(0))
     trimmed = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
 
-    def one(piece: Column) -> Column:
-        bare, marks = trimmed(F.regexp_replace(piece, f"[{MARKS}]+$", "")), F.regexp_extract(piece, f"([{MARKS}]*)$", 1)
-        question, done = F.contains(marks, F.lit("?")), bare
-        for rules in chain:
-            done = step(done, question, rules)
-        return F.when(done.isNotNull(), F.concat(done, marks))
-
-    made = F.transform(F.filter("pieces", lambda p: trimmed(F.regexp_replace(p, f"[{MARKS}]+$", "")) != ""), one)
+    bare = lambda p: trimmed(F.regexp_replace(p, f"[{MARKS}]+$", ""))
+    pair = lambda text, marks: F.struct(text.alias("text"), marks.alias("marks"))
+    # Each register is a pass over the sentences of the one before, so that no rule holds another register's rules.
+    done = F.filter(F.transform("pieces", lambda p: pair(bare(p), F.regexp_extract(p, f"([{MARKS}]*)$", 1))), lambda x: x["text"] != "")
+    for rules in chain:
+        done = F.transform(done, lambda x: pair(step(x["text"], F.contains(x["marks"], F.lit("?")), rules), x["marks"]))  # noqa: B023
+    made = F.transform(done, lambda x: F.concat(x["text"], x["marks"]))
     whole = (F.size(made) > 0) & ~F.exists(made, lambda x: x.isNull())
     return pieces, composed(F.when(whole, F.array_join(made, " ")))
