@@ -91,11 +91,13 @@ def turn_parts(c: Column, known: list[str] | None = None) -> tuple[Column, Colum
     bare = lambda p: strip(F.regexp_replace(p, "^[(（]|[)）]$", ""))
     part = lambda kind, text: F.struct(kind.alias("kind"), text.alias("text"))
 
-    def one(p: Column) -> Column:
+    def one(p: Column, narrated: Column) -> Column:
         inner = F.regexp_extract_all(F.regexp_replace(p, f"^{OPEN}|{CLOSE}$", ""), F.lit(INNER), F.lit(0))
         quoted = F.transform(inner, lambda q: part(F.when(acted(q), "action").otherwise("speech"), F.when(acted(q), bare(q)).otherwise(strip(q))))
-        other = part(F.when(acted(p) | F.contains(body, F.lit(OPEN)), "action").otherwise("speech"), F.when(acted(p), bare(p)).otherwise(strip(p)))
+        other = part(F.when(acted(p) | narrated, "action").otherwise("speech"), F.when(acted(p), bare(p)).otherwise(strip(p)))
         return F.when(p.startswith(OPEN), quoted).otherwise(F.array(other))
 
-    found = F.flatten(F.transform(F.regexp_extract_all(body, F.lit(PART), F.lit(0)), one))
+    # One element: what is known of the whole turn is computed once, not for each part.
+    whole = F.array(F.struct(F.regexp_extract_all(body, F.lit(PART), F.lit(0)).alias("parts"), F.contains(c, F.lit(OPEN)).alias("narrated")))
+    found = F.flatten(F.flatten(F.transform(whole, lambda t: F.transform(t["parts"], lambda p: one(p, t["narrated"])))))
     return name, F.filter(found, lambda x: x["text"] != "")
