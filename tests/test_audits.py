@@ -88,3 +88,9 @@ def test_general_records(spark):
     two = spark.createDataFrame([("1", ["a"], "cue", "sad"), ("2", ["a"], "cue", "glad")], "id string, turns array<string>, cue string, emotion string")
     assert [(r["id"], r["judgment"]) for r in records.general_records(two, "ko", F.lit("train"), "emotion").collect()] == [("1:judgment", json.dumps({"emotion": "슬픔"}, ensure_ascii=False))]
     assert len(records.EMOTIONS) == 32 and len(records.RELATIONS) == 6
+
+
+def test_dominant_value_of_every_owner(spark):
+    rows = [("a", "x"), ("a", "x"), ("a", None), ("b", "z"), ("b", "y"), ("c", ""), ("c", None), (None, "q"), (None, "q"), ("d", "x"), ("d", ""), ("d", None)]
+    got = report.dominant(spark.createDataFrame(rows, "o string, v string"), "o", "v").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([("a", "x", 2, 3), ("b", "y", 1, 2), (None, "q", 2, 2)], key=repr)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.text import sentences, speech_level
@@ -20,12 +20,12 @@ def manifest(df: DataFrame, groupings: list[str]) -> DataFrame:
 
 
 def dominant(df: DataFrame, owner: str, value: str, share: float = 0.5) -> DataFrame:
-    """(owner, value, n, total): the most frequent value if it has ``share`` of all rows, nulls and empties among these; ties go to the smaller."""
-    total = df.groupBy(owner).agg(F.count("*").alias("total"))
-    counts = df.where(F.coalesce(F.col(value), F.lit("")) != "").groupBy(owner, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(owner).orderBy(F.desc("n"), value)
-    best = counts.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
-    return best.join(total, owner).where(F.col("n") >= F.lit(share) * F.col("total"))
+    """(owner, value, n, total): the most frequent value if it has ``share`` of all rows, nulls and empties among these; ties go to the smaller. Null is an owner."""
+    counts = df.groupBy(owner, value).agg(F.count("*").alias("n"))
+    named = F.coalesce(F.col(value).cast("string"), F.lit("")) != ""
+    best = F.min(F.when(named, F.struct((-F.col("n")).alias("less"), F.col(value).alias("v"))))
+    out = counts.groupBy(owner).agg(F.sum("n").alias("total"), best.alias("b")).where("b is not null")
+    return out.select(owner, F.col("b.v").alias(value), (-F.col("b.less")).alias("n"), "total").where(F.col("n") >= F.lit(share) * F.col("total"))
 
 
 LEVELS = ("casual", "polite", "formal", "military", "archaic")

@@ -382,7 +382,7 @@ def stable_question_pick(spark, d):
 
 @query("""WITH c AS (SELECT source, lang, count(*) AS n FROM documents WHERE coalesce(lang, '') <> '' GROUP BY source, lang), t AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
     r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS k FROM c)
-    SELECT r.source, lang, n, total FROM r JOIN t USING (source) WHERE k = 1 AND n >= 0.5 * total""")
+    SELECT r.source, lang, n, total FROM r JOIN t ON t.source IS NOT DISTINCT FROM r.source WHERE k = 1 AND n >= 0.5 * total""")
 def dominant_value(spark, d):
     return report.dominant(table(spark, d, "documents", ["source", "lang"]), "source", "lang")
 
