@@ -144,6 +144,24 @@ def test_log_probability_is_a_distribution():
     assert net.log_probability(around, np.array([7]))[0] > before
 
 
+def test_every_word_is_a_target():
+    """With the shipped parameters each round learns from every word of every document once, whatever batches it comes in."""
+    import pyarrow as pa
+
+    vocab = pseudolik.vocabulary(np.arange(20, dtype=np.uint64), np.full(20, 5), np.ones(pseudolik.REST, np.int64))
+    net = pseudolik.Window.fresh(vocab)
+    sizes, shards = [1, 3, pseudolik.BATCH + 5, 40, 2, 17], [0, 0, 0, 0, 1, 1]
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(shards, pa.int64()), pa.array(range(6), pa.int64()), pa.array([[i % 20 for i in range(n)] for n in sizes], pa.list_(pa.int32()))], names=["shard", "order", "leaves"]
+    )
+    got = {}
+    for batch in pseudolik._trained(net, pseudolik.RATE, 0, pseudolik.STRIDE)([rows.slice(0, 3), rows.slice(3)]):
+        for shard, at, times in zip(*(batch.column(c).to_pylist() for c in ("shard", "rows", "times")), strict=True):
+            # the classes are in every target
+            got[shard] = got.get(shard, 0) + np.frombuffer(times)[np.frombuffer(at, np.int32) == vocab.inner].sum()
+    assert pseudolik.ROUNDS >= 1 and got == {0: sum(sizes[:4]), 1: sum(sizes[4:])}
+
+
 def test_words_at_edges():
     h, at, starts = words(np.frombuffer(b"ab cdab", np.uint8), np.array([0, 2, 2, 5, 7]))
     assert at.tolist() == [0, 1, 1, 2, 3] and starts.tolist() == [0, 3, 5] and h[0] == h[2] != h[1]

@@ -8,8 +8,9 @@ leaf a word has its share of the leaf's occurrences. So log P(w | both sides) is
 a document's score is the sum over all of its words.
 
 Counts are exact and cover every document; they stay in a table that grows with the corpus. The network
-starts at the distribution of single words and is trained on every document in rounds: shards, by hash,
-start from the same parameters, and these are averaged by row. Shards, their number and the order in
+starts at the distribution of single words and is trained on every word of every document in rounds:
+shards, by hash, start from the same parameters, and these are averaged by row. A shard receives the
+leaves of its documents and forms the windows itself. Shards, their number and the order in
 them follow from the documents alone, so scores do not depend on how the input is dealt.
 """
 
@@ -28,12 +29,14 @@ from weftline.plans.shared import materialize
 from .textkernel import U64, list_array, steps, utf8, words
 
 #: Words with leaves of their own; leaves of all others; hidden units; words on each side; targets of a step.
-KNOWN, REST, HIDDEN, WINDOW, BATCH = 65_536, 256, 16, 2, 4096
+KNOWN, REST, HIDDEN, WINDOW, BATCH = 65_536, 256, 16, 2, 8192
 #: Classes of words: trees of about equal counts.
 CLASSES = 32
-#: Words of a shard; every so many words one is a target, in each round others; rows of a parameter chunk.
-SHARD, STRIDE, CHUNK = 16_000_000, 16, 4096
-RATE, ROUNDS = 0.08, 2
+#: Words of a shard; rows of a parameter chunk.
+SHARD, CHUNK = 4_000_000, 4096
+#: Every so many words one is a target, in each round others: with 1 every word is, in every round.
+STRIDE = 1
+RATE, ROUNDS = 0.08, 1
 
 
 @dataclass
@@ -124,55 +127,85 @@ class Window:
         return z
 
     def ways(self, h: np.ndarray, target: np.ndarray):
-        """All turns on the ways to the targets: the target's number, the node, its vector, the turn and the logit of it."""
-        n = self.vocab.depth[target]
-        row = np.repeat(np.arange(len(target), dtype=np.int32), n)
-        at = np.arange(len(row)) + np.repeat(self.vocab.first[target] - np.cumsum(n) + n, n)
-        node = self.vocab.node[at]
-        vec = self.table.take(node, axis=0)
-        x = np.einsum("ij,ij->i", h.take(row, axis=0), vec[:, :HIDDEN]) + vec[:, HIDDEN]
-        return row, node, vec[:, :HIDDEN], self.vocab.turn[at], x
+        """The turns on the ways to the targets, which go by falling depth, one from each way at a time: the nodes, their vectors, the turns and the logits of these; they are the first targets'."""
+        depth, first = self.vocab.depth[target], self.vocab.first[target]
+        for step in range(int(depth[0]) if len(depth) else 0):
+            at = first[: np.searchsorted(-depth, -step)] + step
+            node = self.vocab.node[at]
+            vec = self.table.take(node, axis=0)
+            yield node, vec[:, :HIDDEN], self.vocab.turn[at], np.einsum("ij,ij->i", h[: len(at)], vec[:, :HIDDEN]) + vec[:, HIDDEN]
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target leaf, given the leaves around it (2 * WINDOW rows)."""
         if not len(target):
             return np.zeros(0)
-        h, _ = self.hidden(around)
-        row, _, _, turn, x = self.ways(h, target)
-        np.negative(x, out=x, where=turn > 0)
-        far = np.bincount(row, np.maximum(x, 0) + np.log(1 + np.exp(-np.abs(x))), len(target))
-        return self.classes(h)[np.arange(len(target)), self.vocab.kind[target]] - far
+        deep = np.argsort(-self.vocab.depth[target], kind="stable")
+        target = target[deep]
+        h, _ = self.hidden(around[:, deep])
+        found = self.classes(h)[np.arange(len(target)), self.vocab.kind[target]]
+        for _, _, turn, x in self.ways(h, target):
+            np.negative(x, out=x, where=turn > 0)
+            found[: len(x)] -= np.maximum(x, 0) + np.log1p(np.exp(-np.abs(x)))
+        out = np.empty(len(target))
+        out[deep] = found
+        return out
 
     def learn(self, around: np.ndarray, target: np.ndarray, squares: np.ndarray, touched: np.ndarray, rate: float) -> None:
         """One step of Adagrad, by rows: squares and how often a row was touched are added up in place."""
         v, last = self.vocab, len(self.table) - 1
         out, places = len(v.start), last - 2 * WINDOW
+        deep = np.argsort(-v.depth[target], kind="stable")
+        target = target[deep]
+        around = around[:, deep]
         h, near = self.hidden(around)
-        row, node, vec, turn, x = self.ways(h, target)
-        far = (1 / (1 + np.exp(-np.clip(x, -30, 30))) - turn)[:, None]
-        dense = np.exp(self.classes(h))
+        dense = h @ self.table[v.inner : out, :HIDDEN].T + self.table[v.inner : out, HIDDEN]
+        dense -= dense.max(1, keepdims=True)
+        np.exp(dense, out=dense)
+        dense /= dense.sum(1, keepdims=True)
         dense[np.arange(len(target)), v.kind[target]] -= 1
         dh = dense @ self.table[v.inner : out, :HIDDEN]
-        if len(row):
-            first = np.flatnonzero(np.diff(row, prepend=-1))
-            dh[row[first]] += np.add.reduceat(far * vec, first)
+        nodes, fars = [], []
+        for node, vec, turn, x in self.ways(h, target):
+            far = 1 / (1 + np.exp(-np.clip(x, -30, 30))) - turn
+            dh[: len(x)] += far[:, None] * vec
+            nodes.append(node)
+            fars.append(far)
         dz = dh * (1 - h * h)
-        parts = [(node, np.concatenate([far * h.take(row, axis=0), far], 1))]
-        parts += [(out + a, _wide(dz * self.table[places + k, :HIDDEN])) for k, a in enumerate(around)]
-        index = np.concatenate([i for i, _ in parts])
-        order = np.argsort(index, kind="stable")
-        rows, start, times = np.unique(index[order], return_index=True, return_counts=True)
-        step = [np.add.reduceat(np.concatenate([g for _, g in parts]).take(order, axis=0), start)]
+        rows, times, step = [], [], []
+        if nodes:
+            own, far = np.concatenate([np.arange(len(n)) for n in nodes]), np.concatenate(fars)
+            row, order, start = _grouped(np.concatenate(nodes))
+            far = far[order]
+            rows.append(row)
+            times.append(np.diff(start, append=len(order)))
+            step.append(np.concatenate([np.add.reduceat(h.take(own[order], axis=0) * far[:, None], start), np.add.reduceat(far, start)[:, None]], 1))
+        row, order, start = _grouped(np.concatenate(list(around)))
+        rows.append(out + row)
+        times.append(np.diff(start, append=len(order)))
+        moved = np.concatenate([dz * self.table[places + k, :HIDDEN] for k in range(2 * WINDOW)])
+        step.append(_wide(np.add.reduceat(moved.take(order, axis=0), start)))
         # all classes, the scales and the hidden bias are in every target
-        rows = np.concatenate([rows, np.arange(v.inner, out), np.arange(places, last + 1)])
-        times = np.concatenate([times, np.full(out - v.inner + 2 * WINDOW + 1, len(target))])
+        rows = np.concatenate([*rows, np.arange(v.inner, out), np.arange(places, last + 1)])
+        times = np.concatenate([*times, np.full(out - v.inner + 2 * WINDOW + 1, len(target))])
         step.append(np.concatenate([dense.T @ h, dense.sum(0)[:, None]], 1))
-        step.append(_wide(np.stack([(dz * e).sum(0) for e in near] + [dz.sum(0)])))
+        step.append(_wide(np.stack([np.einsum("ij,ij->j", dz, e) for e in near] + [dz.sum(0)])))
         # the mean over its occurrences, so that a frequent row's step is not larger
-        step = np.concatenate(step) / times[:, None]
-        squares[rows] += (step * step).mean(1)
+        step = np.concatenate(step)
+        step /= times.astype(np.float32)[:, None]
+        total = squares[rows] + np.einsum("ij,ij->i", step, step) / step.shape[1]
+        squares[rows] = total
         touched[rows] += times
-        self.table[rows] -= (rate * step / np.sqrt(squares[rows] + 1e-8)[:, None]).astype(np.float32)
+        step *= (rate / np.sqrt(total + 1e-8)).astype(np.float32)[:, None]
+        self.table[rows] -= step
+
+
+def _grouped(index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct numbers, the places that hold them, in their order, where each number's places start); ``index`` has 32-bit numbers."""
+    # number and place in one key
+    both = np.sort((index.astype(np.int64) << 32) | np.arange(len(index)))
+    index = both >> 32
+    start = np.flatnonzero(np.diff(index, prepend=-1))
+    return index[start], both & 0xFFFFFFFF, start
 
 
 def _wide(v: np.ndarray) -> np.ndarray:
@@ -238,43 +271,34 @@ def _encoded(vocab: Vocabulary):
     return run
 
 
-def _examples(edge: int, turn: int, stride: int):
-    """Rows (leaves) to rows (hash of the document's words, its targets of a round, each after the leaves around it)."""
-
-    def run(batches):
-        for batch in batches:
-            column = batch.column(1)
-            offs, flat = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy()
-            for a, b in steps(offs, 1 << 18):
-                leaf, at = flat[offs[a] : offs[b]], offs[a : b + 1] - offs[a]
-                n = np.diff(at)
-                # a document's first target follows from its words, so that short ones have targets too
-                start = (batch.column(0).slice(a, b - a).to_numpy() + turn) % stride
-                own = np.repeat(np.arange(b - a), n)
-                pick = np.flatnonzero((np.arange(len(leaf)) - at[:-1][own]) % stride == start[own])
-                found = np.concatenate([windows(leaf, at, edge)[:, pick], leaf[None, pick]]).T.astype(np.int32)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(own[pick], minlength=b - a))]) * (2 * WINDOW + 1)
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.ascontiguousarray(found).ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["order", "examples"])
-
-    return run
-
+def _trained(net: Window, rate: float, turn: int, stride: int):
+    """Over rows (shard, hash of the document's words, leaves), sorted: the rows of the table that a shard has touched, in chunks."""
+    edge = len(net.vocab.counts)
 
-def _trained(net: Window, rate: float):
-    """Over rows (shard, examples), sorted: the rows of the table that a shard has touched, in chunks."""
+    def targets(order: np.ndarray, leaf: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Columns: the targets of a round, each after the leaves around it."""
+        near = np.concatenate([windows(leaf, at, edge), leaf[None]]).astype(np.int32)
+        if stride == 1:
+            return near
+        # a document's first target follows from its words, so that short ones have targets too
+        own = np.repeat(np.arange(len(order)), np.diff(at))
+        return near[:, (np.arange(len(leaf)) - at[:-1][own]) % stride == ((order + turn) % stride)[own]]
 
     def run(batches):
         shard, held, size = None, [], 0
         own = squares = touched = None
 
-        def fit():
-            seen = np.concatenate(held).reshape(-1, 2 * WINDOW + 1).T.astype(np.int64)
-            for i in range(0, seen.shape[1], BATCH):
-                own.learn(seen[:-1, i : i + BATCH], seen[-1, i : i + BATCH], squares, touched, rate)
+        def fit(last: bool):
+            """Steps of BATCH targets: they follow from the documents, not from the batches they come in."""
+            seen = np.concatenate(held, 1)
+            whole = seen.shape[1] if last else seen.shape[1] // BATCH * BATCH
+            for i in range(0, whole, BATCH):
+                own.learn(seen[:-1, i : min(i + BATCH, whole)], seen[-1, i : min(i + BATCH, whole)], squares, touched, rate)
+            return [seen[:, whole:]], seen.shape[1] - whole
 
         def done():
-            if held and size:
-                fit()
+            if size:
+                fit(True)
             hit = np.flatnonzero(touched)
             cuts = np.searchsorted(hit, np.arange(0, len(touched) + CHUNK, CHUNK))
             parts = [hit[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
@@ -290,19 +314,21 @@ def _trained(net: Window, rate: float):
             )
 
         for batch in batches:
-            column = batch.column(1)
-            offs, flat = column.offsets.to_numpy(), column.values.to_numpy()
-            for i, s in enumerate(batch.column(0).to_pylist()):
-                if s != shard:
+            shards, order, column = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+            offs, flat = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)] if len(shards) else []
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if shards[lo] != shard:
                     if shard is not None:
                         yield done()
-                    shard, held, size = s, [], 0
+                    shard, held, size = int(shards[lo]), [], 0
                     own, squares, touched = Window(net.vocab, net.table.copy()), np.zeros(len(net.table)), np.zeros(len(net.table))
-                held.append(flat[offs[i] : offs[i + 1]])
-                size += len(held[-1])
-                if size >= BATCH * (2 * WINDOW + 1):  # steps follow from the documents, not from the batches they come in
-                    fit()
-                    held, size = [], 0
+                for a, b in steps(offs[lo : hi + 1], 1 << 18):
+                    a, b = a + lo, b + lo
+                    held.append(targets(order[a:b], flat[offs[a] : offs[b]], offs[a : b + 1] - offs[a]))
+                    size += held[-1].shape[1]
+                    if size >= BATCH:
+                        held, size = fit(False)
         if shard is not None:
             yield done()
 
@@ -346,7 +372,7 @@ def _scored(net: Window):
             for a, b in steps(offs, 1 << 18):
                 leaf, at = flat[offs[a] : offs[b]], offs[a : b + 1] - offs[a]
                 around = windows(leaf, at, edge)
-                value = np.concatenate([net.log_probability(around[:, i : i + 2048], leaf[i : i + 2048]) for i in range(0, len(leaf), 2048)] or [np.zeros(0)])
+                value = np.concatenate([net.log_probability(around[:, i : i + BATCH], leaf[i : i + BATCH]) for i in range(0, len(leaf), BATCH)] or [np.zeros(0)])
                 total[a:b] = np.bincount(np.repeat(np.arange(b - a), np.diff(at)), value, b - a)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offs)), pa.array(total)], names=["row", "n_words", "total"])
 
@@ -373,8 +399,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     """Counts and network from every document; texts that are null or without words add nothing.
 
     The driver receives the ``known`` most frequent words, REST sums and the averaged parameters: sizes
-    that are fixed whatever the corpus. Each round's targets are every ``stride``-th word of all
-    documents, from another word on; all words are context.
+    that are fixed whatever the corpus. Each round's targets are all words or, where ``stride`` is more
+    than 1, every ``stride``-th word of all documents, from another word on; all words are context.
     """
     src = docs.select(F.col(text_col).alias("text"))
     counts = materialize(src.mapInArrow(_counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "counts")
@@ -395,10 +421,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
         shards = -(-total // SHARD)
         rows = corpus.where(F.size("leaves") > 0).select(F.xxhash64("leaves").alias("order"), "leaves")
         for turn in range(rounds):
-            some = rows.mapInArrow(_examples(len(net.vocab.counts), turn, stride), "order long, examples array<int>").where(F.size("examples") > 0)
-            some = some.select(F.pmod("order", F.lit(shards)).alias("shard"), "order", "examples").repartition(int(shards), "shard")
-            some = some.sortWithinPartitions("shard", "order", "examples").select("shard", "examples")
-            found = some.mapInArrow(_trained(net, rate), "chunk int, shard long, rows binary, times binary, vectors binary")
+            some = rows.select(F.pmod("order", F.lit(shards)).alias("shard"), "order", "leaves").repartition(int(shards), "shard")
+            some = some.sortWithinPartitions("shard", "order", "leaves")
+            found = some.mapInArrow(_trained(net, rate, turn, stride), "chunk int, shard long, rows binary, times binary, vectors binary")
             found = found.repartition("chunk").sortWithinPartitions("chunk", "shard").mapInArrow(_averaged(HIDDEN + 1), "rows binary, vectors binary")
             table = net.table.copy()
             for r in found.collect():  # the parameters: a fixed size
