@@ -102,6 +102,22 @@ def test_tensored_entries_bound_the_miss():
     assert (a[0] == a[1]).all() and a.shape == (2, 4) == b.shape and len(set(a[0]) | set(b[0])) == 8
 
 
+def test_near_copies_meet_once_a_piece(spark):
+    """Rows of one pivot that share long runs: no pair within reach is missed, and a pair is not met once an element."""
+    rng, rows = random.Random(4), []
+    shared = rng.sample(range(1, 10**9), 12000)  # what the pivot alone has, and then each pair's own run
+    for i in range(60):
+        run = shared[:40] + shared[100 + i // 2 * 150 : 250 + i // 2 * 150]
+        d = rng.sample(run, len(run) - rng.randrange(6)) + rng.sample(range(10**9, 2 * 10**9), rng.choice([0, 5, 20, 45]))
+        rows.append((7, 100 + i, 500, i, d, 0, 0, 0, 0))
+    diffs = spark.createDataFrame(rows, "pivot long, x long, n long, grp long, d array<long>, b0 long, b1 long, b2 long, b3 long")
+    got = [(r.x, r.z) for r in minhash._candidates(diffs, 80).collect()]
+    near = {(a[1], b[1]) for a in rows for b in rows if a[1] < b[1] and 180 * len(set(a[4]) ^ set(b[4])) <= 20 * 1000}
+    assert len(near) > 15 and near <= set(got)
+    # each element of the run in reach would give a row: over a thousand
+    assert len(got) <= 8 * len(near)
+
+
 def test_bitmaps_bound_the_difference():
     g = np.random.default_rng(4)
     sets = [np.unique(g.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 30, 300, 0)] + [np.zeros(0, np.uint64)]

@@ -11,7 +11,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.operators.graph import connected_components
@@ -123,31 +123,58 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialize(_beside(pairs, sets).where(100 * common >= percent * union).select("x", "y"), "links")
 
 
+def _candidates(diffs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (pivot, x, z) of rows (pivot, x, n, grp, d, bitmap) of different groups that may be linked.
+
+    Elements that the same rows of a pivot hold are one piece, which counts as often as it has elements:
+    near copies share long runs, and meet once a piece, not once an element. Pieces come in one order,
+    those of few rows first, elements of a single row before all. What all rows have in common, as
+    all that the pivot alone has or lacks, comes last. Let ``at`` elements of x and ``zat`` of z stand
+    before the first piece that both have: then as many differ, at + zat in all, and at most half of
+    what may differ is in the lesser of d(x) and d(z). So the lesser is joined by the pieces that begin within
+    n (100 - percent) / (2 percent), the other by those within twice that; then positional and bitmap
+    filters bound the overlap.
+    """
+    row = F.xxhash64("pivot", "x", "n", "grp", *BITS)
+    size = F.size("d").cast("long").alias("size")
+    about = diffs.select(row.alias("row"), "pivot", "x", "n", "grp", *BITS, size)
+    by = Window.partitionBy("token")
+    held = diffs.select(row.alias("row"), F.explode("d").alias("token"), "pivot").select("row", F.xxhash64("pivot", "token").alias("token"))
+    held = held.select("row", F.count("*").over(by).alias("c"), F.bit_xor("row").over(by).alias("h1"), F.sum(F.shiftright("row", 32)).over(by).alias("h2")).where("c > 1")
+    pieces = held.groupBy("row", "c", F.xxhash64("c", "h1", "h2").alias("piece")).agg(F.count("*").alias("w"))
+    own = Window.partitionBy("row")
+    upto = own.orderBy("c", "piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = pieces.select("row", "piece", (F.sum("w").over(upto) - F.col("w") - F.sum("w").over(own)).alias("back"))
+    spread = pieces.join(about, "row").withColumn("at", F.col("size") + F.col("back")).where(F.col("at") * percent <= F.col("n") * (100 - percent))
+    spread = materialize(spread.drop("back", "row"), "pieces")
+    near = [("x", "z"), ("n", "zn"), ("grp", "zgrp"), ("size", "zsize"), ("at", "zat"), *[(b, f"z{b}") for b in BITS]]
+    other = spread.select("pivot", "piece", *[F.col(a).alias(b) for a, b in near])
+    lesser = spread.where(2 * F.col("at") * percent <= F.col("n") * (100 - percent))
+    most = F.least(F.col("size") - F.col("at"), F.col("zsize") - F.col("zat"))
+    slack = (F.col("n") + F.col("zn")) * (100 - percent)
+    able = (2 * most * (100 + percent) >= (F.col("size") + F.col("zsize")) * (100 + percent) - slack) & (F.abs(F.col("size") - F.col("zsize")) * (100 + percent) <= slack)
+    able &= ((F.col("at") + F.col("zat")) * (100 + percent) <= slack) & (2 * F.col("at") * (100 + percent) <= slack)
+    alike = 100 * F.least("n", "zn") >= percent * F.greatest("n", "zn")
+    bits = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"z{b}"))) for b in BITS)
+    able &= bits * (100 + percent) <= slack
+    first = (F.col("size") < F.col("zsize")) | ((F.col("size") == F.col("zsize")) & (F.col("x") < F.col("z")))
+    cand = lesser.join(other, ["pivot", "piece"]).where(first & (F.col("x") != F.col("z")) & (F.col("grp") != F.col("zgrp")) & able & alike)
+    return cand.select("pivot", F.least("x", "z").alias("x"), F.greatest("x", "z").alias("z"))
+
+
 def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (x, y) between rows (x, y = its pivot, grp) of one pivot and of different groups.
 
     With d(x) the symmetric difference of x and the pivot, that of x and z is that of d(x) and d(z).
     So a link needs |d(x) and d(z) differ| <= (n(x) + n(z)) (100 - percent) / (100 + percent), and two
-    rows of which one at least is not linked with the pivot then share one of their first
-    floor(n (100 - percent) / percent) + 1 elements, in one order for all rows of the pivot. That order
-    puts what the pivot lacks first: what its rows have in common has no part in it, so the joined
-    prefixes are rare. Positional and bitmap filters bound the overlap, and the pairs left are verified exactly.
+    rows of which one at least is not linked with the pivot then share an element (``_candidates``).
+    The pairs left are verified exactly.
     """
     gone = F.concat(F.array_except("sx", "sy"), F.array_except("sy", "sx"))
     # the pivot's set is part of its key, for rows that share an id may have several sets
     diffs = _beside(rows, sets).select("x", F.xxhash64("y", "sy").alias("pivot"), F.size("sx").cast("long").alias("n"), "grp", gone.alias("d"), *BITS)
     diffs = materialize(diffs.where(F.size("d") > 0), "diffs")
-    reach = F.floor(F.col("n") * (100 - percent) / percent).cast("int") + 1
-    spread = diffs.select("pivot", "x", "n", "grp", *BITS, F.size("d").alias("size"), F.posexplode(F.slice("d", F.lit(1), reach)).alias("at", "token"))
-    near = [("x", "z"), ("n", "zn"), ("grp", "zgrp"), ("size", "zsize"), ("at", "zat"), *[(b, f"z{b}") for b in BITS]]
-    other = spread.select("pivot", "token", *[F.col(a).alias(b) for a, b in near])
-    most = F.least(F.col("size") - F.col("at"), F.col("zsize") - F.col("zat"))
-    slack = (F.col("n") + F.col("zn")) * (100 - percent)
-    able = (2 * most * (100 + percent) >= (F.col("size") + F.col("zsize")) * (100 + percent) - slack) & (F.abs(F.col("size") - F.col("zsize")) * (100 + percent) <= slack)
-    alike = 100 * F.least("n", "zn") >= percent * F.greatest("n", "zn")
-    bits = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"z{b}"))) for b in BITS)
-    able &= bits * (100 + percent) <= slack
-    cand = spread.join(other, ["pivot", "token"]).where((F.col("x") < F.col("z")) & (F.col("grp") != F.col("zgrp")) & able & alike)
+    cand = _candidates(diffs, percent)
     cand = materialize(cand.groupBy("x", "z").agg(F.min("pivot").alias("pivot")), "cand")
     one = cand.join(diffs.select("pivot", "x", "n", F.col("d").alias("dx")), ["pivot", "x"])
     two = one.join(diffs.select("pivot", F.col("x").alias("z"), F.col("n").alias("zn"), F.col("d").alias("dz")), ["pivot", "z"])
