@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,32 +59,34 @@ class TokenMemo:
         self.marks: dict[str, bytes] = {"": b""}
 
     def _bpe(self, text: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        letters = text.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _learn(self, memo: dict, words: set, before: str) -> None:
         """Add ids of ``before`` + word; None for a word with white space at an edge, where no cut is allowed."""
         if len(memo) > MEMO:
             memo.clear()
         hard = []
+        word, tokenize, mark_of, space = self.word, self.model.tokenize, self.marks, before and self.letters[32]
         for w in words.difference(memo):
-            if not w or w[0].isspace() or w[-1].isspace():
-                memo[w] = None
-                continue
-            parts = self.word(w)
+            parts = word(w)
             if parts is None or not parts[1]:
-                hard.append(w)
+                if not w or w[0].isspace() or w[-1].isspace():
+                    memo[w] = None
+                else:
+                    hard.append(w)
                 continue
-            core, mark = parts[1], parts[2]
+            core, mark = parts.groups()
             ids = memo.get(core)
             if ids is None:
-                ids = memo[core] = self._bpe(before + core)
+                # ASCII letters stand for themselves
+                ids = memo[core] = array("I", [t.id for t in tokenize(space + core)]).tobytes() if core.isascii() else self._bpe(before + core)
             if mark:
-                if mark not in self.marks:
-                    self.marks[mark] = self._bpe(mark)
-                memo[w] = ids + self.marks[mark]
-        for w, e in zip(hard, self.tok.encode_batch([before + w for w in hard], add_special_tokens=False), strict=True):
-            memo[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+                if mark not in mark_of:
+                    mark_of[mark] = self._bpe(mark)
+                memo[w] = ids + mark_of[mark]
+        for w, e in zip(hard, self.tok.encode_batch_fast([before + w for w in hard], add_special_tokens=False), strict=True):
+            memo[w] = array("I", e.ids).tobytes()
 
     def _whole(self, text: str) -> bytes:
         first, *more = self.edge.split(text)
@@ -94,12 +97,17 @@ class TokenMemo:
     def ids(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         cut = [t.split(" ") for t in texts]
-        self._learn(self.head, {c[0] for c in cut}, "")
-        self._learn(self.rest, set().union(*(c[1:] for c in cut)), " ")
-        rest, out = self.rest, []
-        for text, c in zip(texts, cut, strict=True):
-            found = [self.head[c[0]], *[rest[w] for w in c[1:]]]
-            out.append((self._whole(text) if text else b"") if None in found else b"".join(found))
+        heads = [c.pop(0) for c in cut]
+        self._learn(self.head, set(heads), "")
+        self._learn(self.rest, set().union(*cut), " ")
+        rest, out = self.rest.__getitem__, []
+        for text, head, c in zip(texts, heads, cut, strict=True):
+            first = self.head[head]
+            try:
+                ids = None if first is None else first + b"".join(map(rest, c))
+            except TypeError:  # a word that is None
+                ids = None
+            out.append(ids if ids is not None else self._whole(text) if text else b"")
         return out
 
 
