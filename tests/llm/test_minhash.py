@@ -118,6 +118,24 @@ def test_near_copies_meet_once_a_piece(spark):
     assert len(got) <= 8 * len(near)
 
 
+def test_a_family_meets_under_few_pivots(spark, monkeypatch):
+    """Buckets of one family have many pivots; their rows are not compared anew under each of them."""
+    rng, seen, whole = random.Random(12), [], minhash._candidates
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, family(rng, base, rng.randrange(3, 14))) for i in range(150)]
+
+    def counted(diffs, percent):
+        out = whole(diffs, percent)
+        seen.append((diffs.count(), diffs.select("x").distinct().count(), out.count(), out.select("x", "z").distinct().count()))
+        return out
+
+    monkeypatch.setattr(minhash, "_candidates", counted)
+    out = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_groups(frame(spark, rows)).collect()}
+    assert out == brute(rows, 3, 85) and len({c for _, c, _ in out.values()}) > 20
+    ((differences, texts, met, pairs),) = seen
+    assert pairs and differences <= 2 * texts and met <= 4 * pairs
+
+
 def test_bitmaps_bound_the_difference():
     g = np.random.default_rng(4)
     sets = [np.unique(g.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 30, 300, 0)] + [np.zeros(0, np.uint64)]

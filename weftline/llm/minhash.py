@@ -21,7 +21,7 @@ from .textkernel import U64, list_array, mix, shingles, steps, utf8, words
 
 MISS = 1e-4
 #: Words of 64 bits in a set's bitmap.
-WORDS = 4
+WORDS = 16
 BITS = [f"b{w}" for w in range(WORDS)]
 SIGNED = "doc_id long, n long, f1 long, f2 long, a array<long>, b array<long>"
 
@@ -135,9 +135,10 @@ def _candidates(diffs: DataFrame, percent: int) -> DataFrame:
     n (100 - percent) / (2 percent), the other by those within twice that; then positional and bitmap
     filters bound the overlap.
     """
-    row = F.xxhash64("pivot", "x", "n", "grp", *BITS)
+    words = [c for c in diffs.columns if c in BITS]
+    row = F.xxhash64("pivot", "x", "n", "grp", *words)
     size = F.size("d").cast("long").alias("size")
-    about = diffs.select(row.alias("row"), "pivot", "x", "n", "grp", *BITS, size)
+    about = diffs.select(row.alias("row"), "pivot", "x", "n", "grp", *words, size)
     by = Window.partitionBy("token")
     held = diffs.select(row.alias("row"), F.explode("d").alias("token"), "pivot").select("row", F.xxhash64("pivot", "token").alias("token"))
     held = held.select("row", F.count("*").over(by).alias("c"), F.bit_xor("row").over(by).alias("h1"), F.sum(F.shiftright("row", 32)).over(by).alias("h2")).where("c > 1")
@@ -147,7 +148,7 @@ def _candidates(diffs: DataFrame, percent: int) -> DataFrame:
     pieces = pieces.select("row", "piece", (F.sum("w").over(upto) - F.col("w") - F.sum("w").over(own)).alias("back"))
     spread = pieces.join(about, "row").withColumn("at", F.col("size") + F.col("back")).where(F.col("at") * percent <= F.col("n") * (100 - percent))
     spread = materialize(spread.drop("back", "row"), "pieces")
-    near = [("x", "z"), ("n", "zn"), ("grp", "zgrp"), ("size", "zsize"), ("at", "zat"), *[(b, f"z{b}") for b in BITS]]
+    near = [("x", "z"), ("n", "zn"), ("grp", "zgrp"), ("size", "zsize"), ("at", "zat"), *[(b, f"z{b}") for b in words]]
     other = spread.select("pivot", "piece", *[F.col(a).alias(b) for a, b in near])
     lesser = spread.where(2 * F.col("at") * percent <= F.col("n") * (100 - percent))
     most = F.least(F.col("size") - F.col("at"), F.col("zsize") - F.col("zat"))
@@ -155,7 +156,7 @@ def _candidates(diffs: DataFrame, percent: int) -> DataFrame:
     able = (2 * most * (100 + percent) >= (F.col("size") + F.col("zsize")) * (100 + percent) - slack) & (F.abs(F.col("size") - F.col("zsize")) * (100 + percent) <= slack)
     able &= ((F.col("at") + F.col("zat")) * (100 + percent) <= slack) & (2 * F.col("at") * (100 + percent) <= slack)
     alike = 100 * F.least("n", "zn") >= percent * F.greatest("n", "zn")
-    bits = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"z{b}"))) for b in BITS)
+    bits = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"z{b}"))) for b in words)
     able &= bits * (100 + percent) <= slack
     first = (F.col("size") < F.col("zsize")) | ((F.col("size") == F.col("zsize")) & (F.col("x") < F.col("z")))
     cand = lesser.join(other, ["pivot", "piece"]).where(first & (F.col("x") != F.col("z")) & (F.col("grp") != F.col("zgrp")) & able & alike)
@@ -163,23 +164,26 @@ def _candidates(diffs: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (x, y) between rows (x, y = its pivot, grp) of one pivot and of different groups.
+    """Links (x, y) between rows (x, y = its pivot, grp) and their pivots (grp = y) or others of the pivot, of different groups.
 
     With d(x) the symmetric difference of x and the pivot, that of x and z is that of d(x) and d(z).
     So a link needs |d(x) and d(z) differ| <= (n(x) + n(z)) (100 - percent) / (100 + percent), and two
     rows of which one at least is not linked with the pivot then share an element (``_candidates``).
-    The pairs left are verified exactly.
+    Rows that are linked with the pivot are of its group from then on. The pairs left are verified exactly.
     """
     gone = F.concat(F.array_except("sx", "sy"), F.array_except("sy", "sx"))
     # the pivot's set is part of its key, for rows that share an id may have several sets
-    diffs = _beside(rows, sets).select("x", F.xxhash64("y", "sy").alias("pivot"), F.size("sx").cast("long").alias("n"), "grp", gone.alias("d"), *BITS)
-    diffs = materialize(diffs.where(F.size("d") > 0), "diffs")
-    cand = _candidates(diffs, percent)
+    diffs = _beside(rows, sets).select("x", "y", F.xxhash64("y", "sy").alias("pivot"), F.size("sx").cast("long").alias("n"), F.size("sy").cast("long").alias("pn"), "grp", gone.alias("d"), *BITS)
+    linked = F.size("d") * (100 + percent) <= (F.col("n") + F.col("pn")) * (100 - percent)
+    diffs = diffs.withColumn("first", linked & (F.col("grp") != F.col("y"))).withColumn("grp", F.when(linked, F.col("y")).otherwise(F.col("grp")))
+    diffs = materialize(diffs.where((F.size("d") > 0) | F.col("first")), "diffs")
+    cand = _candidates(diffs.where(F.size("d") > 0).drop("y", "pn", "first"), percent)
     cand = materialize(cand.groupBy("x", "z").agg(F.min("pivot").alias("pivot")), "cand")
     one = cand.join(diffs.select("pivot", "x", "n", F.col("d").alias("dx")), ["pivot", "x"])
     two = one.join(diffs.select("pivot", F.col("x").alias("z"), F.col("n").alias("zn"), F.col("d").alias("dz")), ["pivot", "z"])
     apart = F.size("dx") + F.size("dz") - 2 * F.size(F.array_intersect("dx", "dz"))
-    links = materialize(two.where(apart * (100 + percent) <= (F.col("n") + F.col("zn")) * (100 - percent)).select("x", F.col("z").alias("y")).distinct(), "more")
+    two = two.where(apart * (100 + percent) <= (F.col("n") + F.col("zn")) * (100 - percent)).select("x", F.col("z").alias("y"))
+    links = materialize(two.unionByName(diffs.where("first").select("x", "y")).distinct(), "more")
     release(diffs)
     return links
 
@@ -240,12 +244,17 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = _verified(cand.where("near").select("x", "y"), sets, percent)
     comp = materialize(connected_components(links, "x", "y"), "comp")
 
-    # buckets of three or more classes in several groups; the pivot's own group is that of its component
+    # buckets of three or more classes in several groups; pivots of one group are one, the least of the group
     of = comp.select(F.col("id").alias("rep"), "component")
-    rows = met.where("c > 2").join(of, "rep", "left").withColumn("grp", F.coalesce("component", "rep"))
+    rows = met.where("c > 2").join(of, "rep", "left").withColumn("grp", F.coalesce("component", "rep")).drop("component")
+    rows = rows.join(of.withColumnRenamed("rep", "p"), "p", "left").withColumn("p", F.coalesce("component", "p"))
     split = rows.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("key")
     rows = rows.join(materialize(split, "several"), "key", "left_semi")
     rows = materialize(rows.select(F.col("rep").alias("x"), F.col("p").alias("y"), "grp").distinct(), "rows")
+    # a pivot that has met a lesser one gives its rows to it: families meet under few pivots, a pair is compared under few
+    least = rows.groupBy(F.col("x").alias("y")).agg(F.min("y").alias("least"))
+    rows = rows.join(least, "y", "left").select("x", F.least("y", "least").alias("y"), "grp").where("x <> y").distinct()
+    rows = materialize(rows, "fewer")
     release(met)
     if rows.take(1):
         links = links.unionByName(_across(rows, sets, percent))
