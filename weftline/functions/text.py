@@ -26,9 +26,13 @@ def nfc(s: pd.Series) -> pd.Series:
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
-def strip(c: Column) -> Column:
+#: Those that Unicode calls spaces, which SQL's trim takes: no tabs and no ends of lines.
+SPACES = " \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
+
+
+def strip(c: Column, white: str = WHITE) -> Column:
     """Without white space of any script at both ends."""
-    return F.trim(c, F.lit(WHITE))
+    return F.trim(c, F.lit(white))
 
 
 def normalize_text(c: Column) -> Column:
@@ -64,8 +68,8 @@ def is_quoted(c: Column) -> Column:
     return (F.length(c) >= 2) & c.startswith('"') & c.endswith('"')
 
 
-def unquote(c: Column) -> Column:
-    return F.when(is_quoted(c), strip(F.substring(c, F.lit(2), F.length(c) - 2))).otherwise(c)
+def unquote(c: Column, white: str = WHITE) -> Column:
+    return F.when(is_quoted(c), strip(F.substring(c, F.lit(2), F.length(c) - 2), white)).otherwise(c)
 
 
 def slug(c: Column) -> Column:

@@ -43,16 +43,16 @@ def context_item(gift: str) -> Column:
     return F.when(F.col("kind") == NARRATION, bracket).when(F.col("kind") == PRESENT, F.concat(F.lit(f"({gift}: "), F.col("text"), F.lit(")"))).when(F.col("kind") == PLAYER, F.col("text")).otherwise(other)
 
 
-def _events(lines: DataFrame, own: str, by_group: bool, gift: str) -> DataFrame:
+def _events(lines: DataFrame, own: str, by_group: bool, gift: str, white: str) -> DataFrame:
     """(group, stage, way, opt, idx, own, text, idxs, keys): the lines of every way; an option is one event ahead of its branch."""
     staged = materialize(script_stages(lines, "group", by_group), "stages")
     answers = (F.col("kind") == SPEECH) & F.col("speaker").eqNullSafe(F.lit(own))
     choices = staged.where((F.col("part") == "option") & (F.col("kind") == CHOICE))
     if by_group:
-        said = F.when(texts.is_quoted(F.col("text")), texts.unquote(F.col("text"))).otherwise(F.concat(F.lit("("), F.col("text"), F.lit(")")))
+        said = F.when(texts.is_quoted(F.col("text")), texts.unquote(F.col("text"), white)).otherwise(F.concat(F.lit("("), F.col("text"), F.lit(")")))
         way = F.coalesce(F.col("choice_group"), F.lit(0)).cast("long")
     else:
-        said, way = texts.unquote(F.col("text")), F.col("idx")
+        said, way = texts.unquote(F.col("text"), white), F.col("idx")
     parts = choices.groupBy("group", "stage", way.alias("way")).agg(F.array_sort(F.collect_list(F.struct("idx", said.alias("text"), "key"))).alias("p"))
     each = lambda name: F.transform("p", lambda x: x[name])
     options = parts.select("group", "stage", "way", F.element_at("p", 1)["idx"].alias("opt"), F.lit(-1).cast("long").alias("idx"), F.lit(False).alias("own"), F.array_join(each("text"), " ").alias("text"), each("idx").alias("idxs"), each("key").alias("keys"))
@@ -116,13 +116,13 @@ def _joined(left: DataFrame, right: DataFrame, at: str) -> DataFrame:
     return out.withColumn("ord", F.concat("__ord", "ord")).select(*left.columns)
 
 
-def walked(lines: DataFrame, own: str, key: str = "group_no", by_group: bool = True, gift: str = "gift") -> tuple[DataFrame, DataFrame]:
+def walked(lines: DataFrame, own: str, key: str = "group_no", by_group: bool = True, gift: str = "gift", white: str = texts.WHITE) -> tuple[DataFrame, DataFrame]:
     """(exchanges, unanswered) of scripts: ``lines`` of (key, idx, kind, speaker, choice_group, text), idx unique in its script.
 
     Runs of speech by ``own`` are answers, all else is context. With ``by_group`` the choices of one
     group are one option, quoted ones without their quotes and others in brackets, and lines after the
     block that have a group are the branch of that option; else each choice is an option of its own
-    without quotes and branch. ``exchanges``: key, user_items, keys (idx of context and answer),
+    without quotes and branch. ``white`` goes with the quotes, at both ends. ``exchanges``: key, user_items, keys (idx of context and answer),
     answer, previous, previous_items and earlier (up to three exchanges before the previous one, the
     oldest first), one row for each answer, items and previous exchange. ``unanswered``: key, items,
     keys, previous and previous_items where a path ends without an answer. Lines of unknown kind or
@@ -131,7 +131,7 @@ def walked(lines: DataFrame, own: str, key: str = "group_no", by_group: bool = T
     kind = lines.schema[key].dataType
     src = lines.where(F.col(key).isNotNull() & F.col("kind").isin(*KINDS) & (F.col("text") != ""))
     src = src.select(F.col(key).alias("group"), F.col("idx").cast("long").alias("idx"), F.col("idx").cast("long").alias("key"), "kind", "speaker", F.coalesce("choice_group", F.lit(0)).alias("choice_group"), "text")
-    blocks = materialize(_blocks(_events(src, own, by_group, gift)), "blocks")
+    blocks = materialize(_blocks(_events(src, own, by_group, gift, white)), "blocks")
     carried = _carried(blocks)
 
     put = carried.select(F.col("group").alias("__g"), F.col("stage").alias("__s"), "from_stage", "from_way", "from_i", *[F.col(c).alias(f"__{c}") for c in ("items", "ctx", "keys", "ord")])
