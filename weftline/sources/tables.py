@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weftline.plans.shared import materialize
+
+#: Tasks a core among which many small files are dealt.
+TASKS = 4
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
@@ -52,13 +56,17 @@ def dictionary(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:
 
 
 def persona_files(spark: SparkSession, folder: str, schema: str, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(valid, errors) of a folder of JSON files, one object each; errors hold the path and what is missing."""
-    raw = spark.read.text(f"{folder}/*.json", wholetext=True).select(F.input_file_name().alias("path"), "value")
+    """(valid, errors) of a folder of JSON files, one object each; errors hold the path, what is missing and, as ``found``, what was read.
+
+    The folder is listed once and each file read once, many to a task: what they hold is kept in the shared folder.
+    """
+    raw = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    raw = raw.coalesce(TASKS * spark.sparkContext.defaultParallelism)
     rows = raw.select("path", F.from_json("value", schema).alias("j"), F.try_parse_json("value").isNull().alias("broken"))
     lost = F.array_compact(F.array(*[F.when(F.col(f"j.{c}").isNull(), F.lit(c)) for c in required]))
-    rows = rows.withColumn("missing", lost)
+    rows = materialize(rows.withColumn("missing", lost), "files")
     bad = F.col("broken") | (F.size("missing") > 0)
-    return rows.where(~bad).select("path", "j.*"), rows.where(bad).select("path", "broken", "missing")
+    return rows.where(~bad).select("path", "j.*"), rows.where(bad).select("path", "broken", "missing", F.col("j").alias("found"))
 
 
 def annotation_file(spark: SparkSession, path: str, schema: str, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
