@@ -30,9 +30,9 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)
 SPACES = " \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
 
 
-def strip(c: Column, white: str = WHITE) -> Column:
+def strip(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.trim(c, F.lit(white))
+    return F.trim(c, F.lit(WHITE))
 
 
 def normalize_text(c: Column) -> Column:
@@ -69,7 +69,7 @@ def is_quoted(c: Column) -> Column:
 
 
 def unquote(c: Column, white: str = WHITE) -> Column:
-    return F.when(is_quoted(c), strip(F.substring(c, F.lit(2), F.length(c) - 2), white)).otherwise(c)
+    return F.when(is_quoted(c), F.trim(F.substring(c, F.lit(2), F.length(c) - 2), F.lit(white))).otherwise(c)
 
 
 def slug(c: Column) -> Column:
